@@ -39,12 +39,13 @@ def nearest_quantiles(
         {
             "_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0)),
             "_total": F.sum("_n").over(W.partitionBy(*by)),
-            "q": F.explode(F.array(*[F.lit(q) for q in quantiles])),
         }
     )
+    wanted = F.array(*[F.lit(float(q)) for q in quantiles])
     rank = F.floor((F.col("_total") - 1) * F.col("q") + 0.5)
     targets = (
-        ranked.withColumn("_rank", rank)
+        ranked.withColumn("q", F.explode(wanted))
+        .withColumn("_rank", rank)
         .filter((F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_n")))
         .select(*by, "_block", "q", "_before", "_rank", "_total")
     )
