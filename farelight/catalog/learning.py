@@ -1 +1,296 @@
-"""Queries: models."""
+"""Queries: feature stages, regressors and scoring.
+
+Single-feature fits have a closed form, so they are stated in SQL as well; the models with
+all features are compared with brute force in the tests.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from farelight.catalog import views
+from farelight.catalog.registry import query
+from farelight.operators import models, requests, sequence, stats
+from farelight.session import materialize, work_path
+
+ONE = models.ModelSpec("trip_duration", ("trip_distance",), ("trip_distance",), ())
+DISTANCE_ONLY = ["trip_distance"]
+
+# A forest small enough for a check on test tables.
+SMALL_FOREST = {"n_estimators": 10, "max_depth": 8, "max_samples": 0.25, "min_samples_split": 3, "min_samples_leaf": 5}
+
+
+def _rows(spark, sf_dir):
+    """Enriched trips with split and fold."""
+    rows = sequence.hash_split(views.enriched(spark, sf_dir), ["trip_key"])
+    return sequence.kfold_assign(rows, ["trip_key"])
+
+
+NAMED = (
+    "round(trip_distance, 6) AS trip_distance, pickup_daytime::DOUBLE AS pickup_daytime, pickup_hour::DOUBLE AS pickup_hour, "
+    "pickup_weekday::DOUBLE AS pickup_weekday, pickup_quarter::DOUBLE AS pickup_quarter, pickup_seconds::DOUBLE AS pickup_seconds, "
+    "pickup_holiday::DOUBLE AS pickup_holiday, pickup_weekend::DOUBLE AS pickup_weekend, "
+    "round(haversine_centroid_distance, 6) AS haversine_centroid_distance"
+)
+
+
+@query("feature_vector", f"SELECT trip_key, {NAMED} FROM features", ("features",))
+def feature_vector(spark, sf_dir):
+    rows = models.feature_vector(views.enriched(spark, sf_dir), models.DURATION)
+    values = vector_to_array("features")
+    named = [F.round(values[i], 6).alias(name) for i, name in enumerate(models.DURATION.features)]
+    return rows.select("trip_key", *named)
+
+
+SCALED = models.DURATION.scaled
+
+
+def _scaled_columns(rows, output):
+    values = vector_to_array(output)
+    return rows.select("trip_key", *[F.round(values[i], 6).alias(name) for i, name in enumerate(SCALED)])
+
+
+@query(
+    "standard_scale",
+    "SELECT trip_key, " + ", ".join(f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) AS {c}" for c in SCALED) + " FROM features",
+    ("features",),
+)
+def standard_scale(spark, sf_dir):
+    rows = views.enriched(spark, sf_dir).select("trip_key", *SCALED).persist()
+    fitted = Pipeline(stages=models.standard_scale_stages(SCALED, rows.count())).fit(rows)
+    return _scaled_columns(fitted.transform(rows), "scaled")
+
+
+@query(
+    "minmax_scale",
+    "SELECT trip_key, " + ", ".join(f"round(({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()), 6) AS {c}" for c in SCALED) + " FROM features",
+    ("features",),
+)
+def minmax_scale(spark, sf_dir):
+    rows = views.enriched(spark, sf_dir).select("trip_key", *SCALED).persist()
+    return _scaled_columns(Pipeline(stages=models.minmax_scale_stages(SCALED)).fit(rows).transform(rows), "scaled")
+
+
+@query(
+    "one_hot_drop_first",
+    "SELECT trip_key, " + ", ".join(
+        f"({column} = {value})::INTEGER::DOUBLE AS {column}_is_{value}"
+        for column, top in (("pickup_daytime", 3), ("pickup_weekday", 7)) for value in range(2, top + 1)
+    ) + " FROM features",
+    ("features",),
+)
+def one_hot_drop_first(spark, sf_dir):
+    rows = views.enriched(spark, sf_dir).select("trip_key", "pickup_daytime", "pickup_weekday")
+    levels = models.category_levels(rows, ("pickup_daytime", "pickup_weekday"))
+    return models.dummy_stage(levels).transform(rows).drop("pickup_daytime", "pickup_weekday")
+
+
+def _line(spark, model, rows):
+    """(n, intercept, slope, r2) of a fitted single-feature model."""
+    return spark.createDataFrame(
+        [(rows, float(model.intercept), float(model.coefficients[0]), float(model.summary.r2))],
+        "n bigint, intercept double, slope double, r2 double",
+    ).select("n", *[F.round(c, 5).alias(c) for c in ("intercept", "slope", "r2")])
+
+
+@query(
+    "linear_regression",
+    "SELECT count(*) AS n, round(regr_intercept(trip_duration, haversine_centroid_distance), 5) AS intercept, "
+    "round(regr_slope(trip_duration, haversine_centroid_distance), 5) AS slope, "
+    "round(regr_r2(trip_duration, haversine_centroid_distance), 5) AS r2 FROM enriched",
+    ("enriched",),
+)
+def linear_regression(spark, sf_dir):
+    rows = views.enriched(spark, sf_dir).select("trip_duration", "haversine_centroid_distance").persist()
+    stage = models.standard_scale_stages(("haversine_centroid_distance",), rows.count())[0]
+    model = models.linear_regression("trip_duration", features="_raw").fit(stage.transform(rows))
+    return _line(spark, model, rows.count())
+
+
+CENTRED = (
+    "(SELECT count(*) AS n, avg(trip_duration) AS y, avg(trip_distance) AS x, stddev_pop(trip_distance) AS s, "
+    "covar_pop(trip_distance, trip_duration) / stddev_pop(trip_distance) AS zy FROM enriched)"
+)
+RIDGE_WEIGHT = "(n * zy / (n + 0.1))"
+ELASTIC_WEIGHT = "(CASE WHEN zy > 0.01 THEN zy - 0.01 WHEN zy < -0.01 THEN zy + 0.01 ELSE 0 END / 1.09)"
+
+
+def _scaled_fit(spark, sf_dir, make):
+    rows = views.enriched(spark, sf_dir).select("trip_duration", "trip_distance").persist()
+    about = models.label_stats(rows, "trip_duration")
+    n = about.n
+    stages = models.standard_scale_stages(DISTANCE_ONLY, n)
+    fitted = Pipeline(stages=[*stages, make(about)]).fit(rows)
+    model = fitted.stages[-1]
+    return spark.createDataFrame(
+        [(n, float(model.intercept), float(model.coefficients[0]))], "n bigint, intercept double, slope double"
+    ).select("n", F.round("intercept", 4).alias("intercept"), F.round("slope", 4).alias("slope"))
+
+
+@query("ridge", f"SELECT n, round(y, 4) AS intercept, round({RIDGE_WEIGHT}, 4) AS slope FROM {CENTRED}", ("enriched",))
+def ridge(spark, sf_dir):
+    return _scaled_fit(spark, sf_dir, lambda about: models.ridge("trip_duration", about, features="scaled"))
+
+
+@query("elastic_net", f"SELECT n, round(y, 4) AS intercept, round({ELASTIC_WEIGHT}, 4) AS slope FROM {CENTRED}", ("enriched",))
+def elastic_net(spark, sf_dir):
+    return _scaled_fit(spark, sf_dir, lambda about: models.elastic_net("trip_duration", about, features="scaled"))
+
+
+@query(
+    "voting_mean",
+    f"SELECT trip_key, round(y + (trip_distance - x) / s * (zy + {RIDGE_WEIGHT} + {ELASTIC_WEIGHT}) / 3, 3) AS prediction FROM enriched, {CENTRED}",
+    ("enriched",),
+)
+def voting_mean(spark, sf_dir):
+    rows = views.enriched(spark, sf_dir).select("trip_key", "trip_duration", "trip_distance").persist()
+    model = models.fit_model(rows, ONE, "voting_regressor")
+    return models.predict(model, rows).select("trip_key", F.round("prediction", 3).alias("prediction"))
+
+
+def _evaluated(spark, sf_dir, spec, regressor, params=None):
+    rows = _rows(spark, sf_dir).select("trip_type", "is_train", spec.target, *spec.features)
+    rows = materialize(stats.quantile_trim(rows, spec.target, ("trip_type",)), "model_rows")
+    model = models.fit_model(rows.filter("is_train"), spec, regressor, params)
+    return models.holdout_evaluate(model, rows.filter(~F.col("is_train")), spec, ("trip_type",))
+
+
+@query("duration_linear_model")
+def duration_linear_model(spark, sf_dir):
+    return _evaluated(spark, sf_dir, models.DURATION, "linear_regressor")
+
+
+@query("cost_voting_model")
+def cost_voting_model(spark, sf_dir):
+    return _evaluated(spark, sf_dir, models.COST, "voting_regressor")
+
+
+@query("random_forest")
+def random_forest(spark, sf_dir):
+    return _evaluated(spark, sf_dir, models.DURATION, "randomforest_regressor", SMALL_FOREST)
+
+
+@query(
+    "cross_validate",
+    "SELECT f.fold, count(*) AS n, round(sqrt(avg((trip_duration - a - b * trip_distance) ** 2)), 4) AS rmse FROM features f JOIN ("
+    "SELECT k::BIGINT AS fold, regr_slope(trip_duration, trip_distance) AS b, regr_intercept(trip_duration, trip_distance) AS a "
+    "FROM features JOIN range(10) t(k) ON fold <> k GROUP BY k) m ON f.fold = m.fold GROUP BY f.fold",
+    ("features",),
+)
+def cross_validate(spark, sf_dir):
+    rows = _rows(spark, sf_dir).select(F.col("fold").cast("bigint").alias("fold"), "trip_duration", "trip_distance").persist()
+    fits = models.fold_least_squares(rows, DISTANCE_ONLY, "trip_duration")
+    scored = models.score_by_chunk(rows, fits, DISTANCE_ONLY, "fold")
+    found = stats.regression_metrics(scored, "trip_duration", by=("fold",))
+    return found.select("fold", "n", F.round("rmse", 4).alias("rmse"))
+
+
+@query(
+    "holdout_evaluate",
+    "SELECT trip_type, count(*) AS n, round(sqrt(avg(e * e)), 4) AS rmse, round(1 - avg(e * e) / var_pop(trip_duration), 4) AS r2, "
+    "round(avg(abs(e)), 4) AS mae FROM (SELECT *, trip_duration - a - b * trip_distance AS e FROM features, ("
+    "SELECT regr_slope(trip_duration, trip_distance) AS b, regr_intercept(trip_duration, trip_distance) AS a FROM features WHERE is_train) "
+    "WHERE NOT is_train) GROUP BY trip_type",
+    ("features",),
+)
+def holdout_evaluate(spark, sf_dir):
+    rows = _rows(spark, sf_dir).select("trip_type", "is_train", "trip_duration", "trip_distance").persist()
+    model = models.fit_model(rows.filter("is_train"), ONE, "linear_regressor")
+    found = models.holdout_evaluate(model, rows.filter(~F.col("is_train")), ONE, ("trip_type",))
+    return found.select("trip_type", "n", *[F.round(m, 4).alias(m) for m in ("rmse", "r2", "mae")])
+
+
+@query(
+    "chunked_fit_best",
+    "SELECT chunk_id, n, rmse FROM (SELECT chunk_id, count(*) AS n, round(sqrt(avg((trip_duration - a - b * trip_distance) ** 2)), 4) AS rmse "
+    "FROM (SELECT *, l_orderkey // 1000 AS chunk_id FROM features WHERE NOT is_train) JOIN ("
+    "SELECT l_orderkey // 1000 AS chunk_id, regr_slope(trip_duration, trip_distance) AS b, regr_intercept(trip_duration, trip_distance) AS a "
+    "FROM features WHERE is_train GROUP BY 1) USING (chunk_id) GROUP BY chunk_id) ORDER BY rmse, chunk_id LIMIT 1",
+    ("features",),
+)
+def chunked_fit_best(spark, sf_dir):
+    rows = _rows(spark, sf_dir).withColumn("chunk_id", F.floor(F.col("l_orderkey") / 1000))
+    rows = rows.select("chunk_id", "is_train", "trip_duration", "trip_distance").persist()
+    fits = models.chunked_least_squares(rows.filter("is_train"), DISTANCE_ONLY, "trip_duration")
+    scored = models.score_by_chunk(rows.filter(~F.col("is_train")), fits, DISTANCE_ONLY)
+    found = stats.regression_metrics(scored, "trip_duration", by=("chunk_id",))
+    return stats.best_score(found.select("chunk_id", "n", F.round("rmse", 4).alias("rmse")))
+
+
+@query(
+    "hyperparameter_growth",
+    "SELECT chunk_id, growth_step, list_reduce(list_prepend(100.0::DOUBLE, range(least(growth_step, 10))::DOUBLE[]), lambda a, x: trunc(a * 1.15::DOUBLE))::INTEGER AS n_estimators "
+    "FROM (SELECT chunk_id, sum(CASE WHEN patience = 0 AND NOT improved THEN 1 ELSE 0 END) OVER (ORDER BY chunk_id)::INTEGER AS growth_step FROM ("
+    "SELECT chunk_id, improved, (rn - max(CASE WHEN improved THEN rn END) OVER (ORDER BY chunk_id)) % 5 AS patience FROM improvements))",
+    ("improvements",),
+)
+def hyperparameter_growth(spark, sf_dir):
+    series = models.hyperparameter_growth(models.FOREST, 10)
+    trees = F.create_map(*[F.lit(v) for i, p in enumerate(series) for v in (i, p["n_estimators"])])
+    rows = sequence.growth_steps(views.scores(spark, sf_dir))
+    step = F.least(F.col("growth_step"), F.lit(len(series) - 1))
+    return rows.select("chunk_id", "growth_step", F.element_at(trees, step).alias("n_estimators"))
+
+
+@query("batch_score")
+def batch_score(spark, sf_dir):
+    """All trips as requests: duration models, then cost models fed with their result."""
+    spec_columns = [*models.COST.features, "trip_cost", "trip_distance"]
+    rows = views.enriched(spark, sf_dir).select("trip_key", "trip_type", "tpep_pickup_datetime", *spec_columns)
+    rows = materialize(rows, "requests")
+    duration, cost = {}, {}
+    for kind in ("short_trip", "long_trip"):
+        part = rows.filter(F.col("trip_type") == kind)
+        duration[kind] = [models.fit_model(part, models.DURATION, "linear_regressor")]
+        cost[kind] = [models.fit_model(part, models.COST, "linear_regressor")]
+    asked = rows.select(
+        "trip_key", F.col("tpep_pickup_datetime").alias("pickup_ts"), "trip_distance", "haversine_centroid_distance"
+    )
+    scored = requests.batch_score(asked, duration, cost, views.HOLIDAYS)
+    return scored.select("trip_key", "trip_type", "trip_duration", "dropoff_ts", "trip_cost", "eta", "answer")
+
+
+@query(
+    "latest_model",
+    "SELECT '20240613' AS folder_name, count(*) AS n, round(avg(y + b * (trip_distance - x)), 4) AS mean_prediction FROM enriched, ("
+    "SELECT avg(trip_duration) AS y, avg(trip_distance) AS x, regr_slope(trip_duration, trip_distance) AS b FROM enriched WHERE trip_type = 'short_trip')",
+    ("enriched",),
+)
+def latest_model(spark, sf_dir):
+    from farelight.plans.advisor import latest_model_root
+
+    root = work_path(spark, "models")
+    rows = views.enriched(spark, sf_dir).select("trip_type", "trip_duration", "trip_distance").persist()
+    for day, part in (("20240527", rows), ("20240613", rows.filter("trip_type = 'short_trip'"))):
+        models.fit_model(part, ONE, "linear_regressor").write().save(f"{root}/{day}/linear_regressor")
+    newest = latest_model_root(spark, root)
+    model = PipelineModel.load(f"{newest}/linear_regressor")
+    scored = models.predict(model, models.model_input(rows, ONE))
+    return scored.agg(
+        F.lit(newest.rsplit("/", 1)[-1]).alias("folder_name"),
+        F.count("*").alias("n"),
+        F.round(F.avg("prediction"), 4).alias("mean_prediction"),
+    )
+
+
+@query(
+    "prediction_cache",
+    "SELECT trip_key, trip_distance * 2 + trip_duration AS prediction FROM kms",
+    ("kms",),
+)
+def prediction_cache(spark, sf_dir):
+    rule = SQLTransformer(statement="SELECT *, trip_distance * 2 + trip_duration AS prediction FROM __THIS__")
+    rows = views.kms(spark, sf_dir).select("trip_key", "trip_distance", "trip_duration")
+    return models.prediction_cache(rows, ["trip_distance", "trip_duration"], rule.transform, "prediction").select(
+        "trip_key", "prediction"
+    )
+
+
+@query("stage_trips", "SELECT count(*) AS n_rows, count(DISTINCT trip_key) AS n_keys FROM trips", ("trips",))
+def stage_trips(spark, sf_dir):
+    rows = spark.read.parquet(views.stage_trips(spark, sf_dir))
+    keys = rows.groupBy("trip_key").agg(F.count("*").alias("n"))
+    return keys.agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_keys"))

@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from farelight.session import use_utc
+from farelight.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,6 +97,17 @@ CTES = {
                  sin(radians(q.lat - p.lat) / 2) ** 2
                  + cos(radians(p.lat)) * cos(radians(q.lat)) * sin(radians(q.lon - p.lon) / 2) ** 2))) AS haversine_centroid_distance
         FROM clean c JOIN zones p ON c.pulocationid = p.objectid JOIN zones q ON c.dolocationid = q.objectid""",
+    "features": """
+        SELECT e.*, (CASE WHEN hour(tpep_pickup_datetime) BETWEEN 7 AND 10 OR hour(tpep_pickup_datetime) BETWEEN 16 AND 19 THEN 1
+                        WHEN hour(tpep_pickup_datetime) >= 20 OR hour(tpep_pickup_datetime) <= 6 THEN 2 ELSE 3 END) AS pickup_daytime,
+               hour(tpep_pickup_datetime) AS pickup_hour, isodow(tpep_pickup_datetime) AS pickup_weekday,
+               (hour(tpep_pickup_datetime) * 60 + minute(tpep_pickup_datetime)) // 15 AS pickup_quarter,
+               hour(tpep_pickup_datetime) * 60 + minute(tpep_pickup_datetime) AS pickup_seconds,
+               (tpep_pickup_datetime::DATE IN (SELECT d FROM holidays))::INTEGER AS pickup_holiday,
+               (isodow(tpep_pickup_datetime) >= 6)::INTEGER AS pickup_weekend,
+               ('0x' || substr(md5(concat_ws('|', trip_key, '1234')), 1, 8))::BIGINT % 10000 < 2000 AS is_train,
+               ('0x' || substr(md5(concat_ws('|', trip_key, '42')), 1, 8))::BIGINT % 10 AS fold
+        FROM enriched e""",
     "parcels": """
         SELECT p_partkey AS i, p_name, p_type, p_retailprice,
                -742500 + 300 * (p_partkey % 20) AS x, 405000 + 300 * ((p_partkey // 20) % 20) AS y,
@@ -162,7 +173,7 @@ CTES = {
 # What each subquery reads.
 NEEDS = {
     "timed": ["trips"], "kms": ["timed"], "imputed": ["kms"], "measured": ["imputed"], "ruled": ["measured"],
-    "clean": ["ruled"], "fixed_days": ["calendar"], "holidays": ["fixed_days"], "enriched": ["clean", "zones"],
+    "clean": ["ruled"], "fixed_days": ["calendar"], "holidays": ["fixed_days"], "enriched": ["clean", "zones"], "features": ["enriched", "holidays"],
     "scores": ["kms"], "newest_status": ["status_log"], "judged": ["scores"], "improvements": ["judged"],
 }
 
@@ -185,7 +196,7 @@ def query(name: str, sql: str | None = None, reads: tuple[str, ...] = ()):
 
     def register(function: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return function(use_utc(spark), sf_dir)
+            return function(prepare(spark), sf_dir)
 
         QUERIES[name] = run
         if sql is not None:

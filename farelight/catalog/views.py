@@ -9,7 +9,9 @@ from farelight.catalog.registry import AS_OF, HOLIDAY_YEARS
 from farelight.functions.calendar import us_holidays
 from farelight.operators import cleaning, enrich, projection, stats, zones
 from farelight.plans.processing import clean_trips, measured_trips
+from farelight.session import spread, work_path
 from farelight.sources.landing import LANDING_COLUMNS
+from farelight.sources.tables import path_exists
 
 HOLIDAYS = us_holidays(*HOLIDAY_YEARS)
 
@@ -18,14 +20,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_STAGED: dict[tuple[str, str], str] = {}
+
+
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staged trips of a test folder; written on first use in an application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STAGED or not path_exists(spark, f"{_STAGED[key]}/_SUCCESS"):
+        _STAGED[key] = stage_trips(spark, sf_dir)
+    return spark.read.schema(derived_trips(spark, sf_dir).schema).parquet(_STAGED[key])
+
+
+def stage_trips(spark: SparkSession, sf_dir: str) -> str:
+    """Write the trips as a table in the shared folder, as collection would leave them."""
+    path = work_path(spark, "trips")
+    derived_trips(spark, sf_dir).write.option("compression", "zstd").parquet(path)
+    return path
+
+
+def derived_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A trip per line item."""
     order, part, supplier, line = (F.col(f"l_{c}") for c in ("orderkey", "partkey", "suppkey", "linenumber"))
-    pickup = F.col("l_shipdate") + F.make_dt_interval(
-        F.when(order % 499 == 0, 40000).otherwise(0), F.lit(0), ((order * 7 + part) % 1440).cast("int"), supplier % 60
-    )
+    late = F.when(order % 499 == 0, 40000 * 86400).otherwise(0)
+    pickup = F.timestamp_add("SECOND", late + (order * 7 + part) % 1440 * 60 + supplier % 60, F.col("l_shipdate"))
     ride = (part * 37 + line * 11) % 5400 - 30
-    rows = table(spark, sf_dir, "lineitem").withColumn("tpep_pickup_datetime", pickup)
+    columns = [f"l_{c}" for c in ("orderkey", "partkey", "suppkey", "linenumber", "quantity", "extendedprice", "shipdate")]
+    lines = spread(table(spark, sf_dir, "lineitem").select(*columns), "l_orderkey", "l_partkey", "l_linenumber")
+    rows = lines.withColumn("tpep_pickup_datetime", pickup)
     sign = F.when(part % 97 == 0, -1).otherwise(1)
     return rows.select(
         (order * 10 + line).alias("trip_id"),
@@ -33,7 +54,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey",
         (order % 8).alias("batch_id"),
         "tpep_pickup_datetime",
-        (F.col("tpep_pickup_datetime") + F.make_dt_interval(secs=ride)).alias("tpep_dropoff_datetime"),
+        F.timestamp_add("SECOND", ride, F.col("tpep_pickup_datetime")).alias("tpep_dropoff_datetime"),
         F.when(part % 41 == 0, 0.0).otherwise(F.col("l_quantity") * 0.6).alias("trip_distance"),
         ((supplier * 13 + line) % 265 + 1).cast("string").alias("pulocationid"),
         (part % 265 + 1).cast("string").alias("dolocationid"),

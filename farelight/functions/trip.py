@@ -16,12 +16,17 @@ LONG_TRIP_KM = 35.0
 CHARGES = ("fare_amount", "extra", "mta_tax", "tolls_amount", "improvement_surcharge")
 
 
+def hundredths(value: Column) -> Column:
+    """Round to two places, half up, in double arithmetic (no decimal detour per row)."""
+    return F.floor(value * 100 + 0.5) / 100
+
+
 def duration_minutes(pickup: Column, dropoff: Column) -> Column:
-    return F.round((micros(dropoff) - micros(pickup)) / 6e7, 2)
+    return hundredths((micros(dropoff) - micros(pickup)) / 6e7)
 
 
 def miles_to_km(miles: Column) -> Column:
-    return F.round(miles * KM_PER_MILE, 2)
+    return hundredths(miles * KM_PER_MILE)
 
 
 def trip_cost(charges: list[Column]) -> Column:

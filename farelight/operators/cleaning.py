@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,8 +17,10 @@ SPEED_LOW, SPEED_HIGH = 1, 200
 
 
 def date_rule(column: str, as_of_year: int) -> Column:
-    year = F.year(column)
-    return (year > FIRST_YEAR) & (year <= as_of_year)
+    """Year after 1970 and not after ``as_of_year``, as a range the scan can be pruned by."""
+    first = F.lit(datetime(FIRST_YEAR + 1, 1, 1)).cast("timestamp_ntz")
+    end = F.lit(datetime(as_of_year + 1, 1, 1)).cast("timestamp_ntz")
+    return (F.col(column) >= first) & (F.col(column) < end)
 
 
 def charge_rule(column: str) -> Column:

@@ -13,6 +13,7 @@ from pyspark.ml.feature import ElementwiseProduct, MinMaxScaler, SQLTransformer,
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from farelight.operators import stats
@@ -65,11 +66,13 @@ def feature_vector(df: DataFrame, spec: ModelSpec, output: str = "features") ->
 
 def category_levels(df: DataFrame, columns: tuple[str, ...]) -> dict[str, list[int]]:
     """Distinct values per column, ascending. They become columns, so there may only be a few."""
-    sets = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in columns]).first()
+    levels = {}
     for column in columns:
-        if len(sets[column]) > MAX_LEVELS:
+        found = df.select(F.col(column).cast("int")).distinct().limit(MAX_LEVELS + 1).collect()
+        if len(found) > MAX_LEVELS:
             raise ValueError(f"{column} has more than {MAX_LEVELS} values")
-    return {column: list(sets[column]) for column in columns}
+        levels[column] = sorted(row[0] for row in found if row[0] is not None)
+    return levels
 
 
 def dummy_names(levels: dict[str, list[int]]) -> list[str]:
@@ -107,7 +110,7 @@ def linear_stages(train: DataFrame, spec: ModelSpec) -> list:
     levels = category_levels(train, spec.categorical)
     names = ["scaled", *dummy_names(levels), *spec.passthrough]
     return [
-        dummy_stage(levels),
+        *([dummy_stage(levels)] if dummy_names(levels) else []),
         *standard_scale_stages(spec.scaled, train.count()),
         VectorAssembler(inputCols=names, outputCol="features"),
     ]
@@ -124,28 +127,50 @@ def linear_regression(label: str, output: str = "prediction", features: str = "f
     )
 
 
-def ridge(label: str, n_rows: int, output: str = "prediction", features: str = "features", params: dict = RIDGE):
-    """The penalty is on the sum of squares there and on its mean here, hence alpha / n."""
+@dataclass(frozen=True)
+class LabelStats:
+    """Row count and population deviation of the target, which the penalties are scaled by."""
+
+    n: int
+    std: float
+
+
+def label_stats(train: DataFrame, target: str) -> LabelStats:
+    n, std = train.agg(F.count(target), F.stddev_pop(target)).first()
+    return LabelStats(n, float(std or 1.0) or 1.0)
+
+
+def ridge(label: str, about: LabelStats, output: str = "prediction", features: str = "features", params: dict = RIDGE):
+    """Sum of squares + alpha * |w|^2.
+
+    MLlib averages the squares and divides a squared penalty by the label's deviation.
+    """
     return LinearRegression(
         featuresCol=features, labelCol=label, predictionCol=output, solver="normal", standardization=False,
-        regParam=params["alpha"] / n_rows, elasticNetParam=0.0, tol=params["tol"], maxIter=int(params["max_iter"]),
+        regParam=params["alpha"] * about.std / about.n, elasticNetParam=0.0, tol=params["tol"], maxIter=int(params["max_iter"]),
     )
 
 
-def elastic_net(label: str, output: str = "prediction", features: str = "features", params: dict = ELASTIC_NET):
+def elastic_net(label: str, about: LabelStats, output: str = "prediction", features: str = "features", params: dict = ELASTIC_NET):
+    """Mean of squares / 2 + alpha * (l1_ratio * |w| + (1 - l1_ratio) / 2 * |w|^2).
+
+    The squared part is divided by the label's deviation here, the absolute part is not.
+    """
+    absolute = params["alpha"] * params["l1_ratio"]
+    squared = params["alpha"] * (1 - params["l1_ratio"]) * about.std
     return LinearRegression(
         featuresCol=features, labelCol=label, predictionCol=output, solver="normal", standardization=False,
-        regParam=params["alpha"], elasticNetParam=params["l1_ratio"], tol=1e-9, maxIter=int(params["max_iter"]),
+        regParam=absolute + squared, elasticNetParam=absolute / (absolute + squared), tol=1e-9, maxIter=int(params["max_iter"]),
     )
 
 
-def voting_stages(label: str, n_rows: int, params: dict | None = None, features: str = "features") -> list:
+def voting_stages(label: str, about: LabelStats, params: dict | None = None, features: str = "features") -> list:
     """Three linear models and the mean of their predictions, as stages of one pipeline."""
     params = params or {"ridge": RIDGE, "elastic_net": ELASTIC_NET}
     return [
         linear_regression(label, "_p_linear", features),
-        ridge(label, n_rows, "_p_ridge", features, params["ridge"]),
-        elastic_net(label, "_p_elastic", features, params["elastic_net"]),
+        ridge(label, about, "_p_ridge", features, params["ridge"]),
+        elastic_net(label, about, "_p_elastic", features, params["elastic_net"]),
         SQLTransformer(statement="SELECT *, (_p_linear + _p_ridge + _p_elastic) / 3 AS prediction FROM __THIS__"),
     ]
 
@@ -168,7 +193,7 @@ def build_pipeline(train: DataFrame, spec: ModelSpec, regressor: str, params: di
     stages = linear_stages(train, spec)
     if regressor == "linear_regressor":
         return Pipeline(stages=[*stages, linear_regression(spec.target)])
-    return Pipeline(stages=[*stages, *voting_stages(spec.target, train.count(), params)])
+    return Pipeline(stages=[*stages, *voting_stages(spec.target, label_stats(train, spec.target), params)])
 
 
 def model_input(df: DataFrame, spec: ModelSpec, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -240,12 +265,9 @@ def _moments(rows: DataFrame, features: list[str], label: str, by: str) -> DataF
     return partials.groupBy(by, "position").agg(F.sum("value").alias("value"))
 
 
-def chunked_least_squares(rows: DataFrame, features: list[str], label: str, by: str = "chunk_id", alpha: float = 0.0) -> DataFrame:
-    """(by, n, intercept, coefficients): least squares per group, minimum norm when singular.
-
-    ``alpha`` adds a ridge penalty on everything but the intercept.
-    """
-    width = len(features) + 2
+def _solve(moments: DataFrame, n_features: int, by: str, alpha: float) -> DataFrame:
+    """Least squares per group from its summed moments, a fixed-size matrix each."""
+    width = n_features + 2
 
     def solve(group: pd.DataFrame) -> pd.DataFrame:
         gram = np.zeros(width * width)
@@ -261,10 +283,28 @@ def chunked_least_squares(rows: DataFrame, features: list[str], label: str, by:
             {by: [group[by].iloc[0]], "n": [int(n)], "intercept": [float(intercept)], "coefficients": [weights.tolist()]}
         )
 
-    moments = _moments(rows, features, label, by)
     return moments.groupBy(by).applyInPandas(solve, f"{by} bigint, n bigint, intercept double, coefficients array<double>")
 
 
+def chunked_least_squares(rows: DataFrame, features: list[str], label: str, by: str = "chunk_id", alpha: float = 0.0) -> DataFrame:
+    """(by, n, intercept, coefficients): least squares per group, minimum norm when singular.
+
+    ``alpha`` adds a ridge penalty on everything but the intercept.
+    """
+    return _solve(_moments(rows, features, label, by), len(features), by, alpha)
+
+
+def fold_least_squares(rows: DataFrame, features: list[str], label: str, fold: str = "fold", alpha: float = 0.0) -> DataFrame:
+    """The fit of every fold's complement from one pass: the moments of all rows less its own.
+
+    Folds without rows of their own have no line here.
+    """
+    moments = _moments(rows, features, label, fold)
+    total = F.sum("value").over(W.partitionBy("position"))
+    rest = moments.withColumn("value", total - F.col("value"))
+    return _solve(rest, len(features), fold, alpha)
+
+
 def score_by_chunk(rows: DataFrame, fits: DataFrame, features: list[str], by: str = "chunk_id") -> DataFrame:
     """Rows with the prediction of their own group's fit."""
     values = F.array(*[F.col(f).cast("double") for f in features])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,12 +27,14 @@ def nearest_quantiles(
 
     Rows (*by, q, value, n). Values are counted before they are shuffled, ranks are located
     in blocks of ``width``, and only the counts of the block that holds a rank are ordered.
+    The counts are kept, as they are read twice; the rows are read once.
     """
     counts = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).alias("_value"))
         .agg(F.count("*").alias("_n"))
         .withColumn("_block", F.floor(F.col("_value") / width))
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
     blocks = counts.groupBy(*by, "_block").agg(F.sum("_n").alias("_n"))
     earlier = W.partitionBy(*by).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)

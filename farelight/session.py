@@ -18,6 +18,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Wide projections generate methods the JVM would never compile; beyond this size Spark
+    # evaluates the operators one by one, which is several times faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -31,12 +34,25 @@ def build_session(app: str = "farelight", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Event times carry no zone; instants are taken as UTC so differences are exact."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the settings that results and speed depend on to a session made elsewhere.
+
+    Event times carry no zone; instants are taken as UTC so differences are exact.
+    """
+    for key in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"):
+        spark.conf.set(key, SETTINGS[key])
     return spark
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Redistribute a scan that makes fewer tasks than there are cores, by ``columns``.
+
+    Large tables make many tasks and are returned as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it.
 
