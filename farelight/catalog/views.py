@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from farelight.catalog.registry import AS_OF, HOLIDAY_YEARS
 from farelight.functions.calendar import us_holidays
@@ -20,15 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_STAGED: dict[tuple[str, str], str] = {}
+_STAGED: dict[tuple[str, str], tuple[str, StructType]] = {}
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The staged trips of a test folder; written on first use in an application."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STAGED or not path_exists(spark, f"{_STAGED[key]}/_SUCCESS"):
-        _STAGED[key] = stage_trips(spark, sf_dir)
-    return spark.read.schema(derived_trips(spark, sf_dir).schema).parquet(_STAGED[key])
+    if key not in _STAGED or not path_exists(spark, f"{_STAGED[key][0]}/_SUCCESS"):
+        path = stage_trips(spark, sf_dir)
+        _STAGED[key] = path, spark.read.parquet(path).schema
+    path, schema = _STAGED[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def stage_trips(spark: SparkSession, sf_dir: str) -> str:
@@ -200,7 +203,7 @@ def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def request_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A message per order: requests of several shapes, greetings and thanks."""
-    rows = table(spark, sf_dir, "orders")
+    rows = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
 
     def text(c: Column) -> Column:

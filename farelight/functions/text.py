@@ -35,8 +35,8 @@ def strip_punctuation(text: Column) -> Column:
 
 
 def _capture(text: Column, pattern: str) -> Column:
-    found = strip(F.regexp_extract(text, _FLAGS + pattern, 1))
-    return F.when(text.rlike(_FLAGS + pattern), found)
+    """The captured text; null when nothing, or nothing but blanks, was found."""
+    return F.nullif(strip(F.regexp_extract(text, _FLAGS + pattern, 1)), F.lit(""))
 
 
 def place_from(text: Column) -> Column:
@@ -83,13 +83,12 @@ def intent(text: Column, is_first: Column) -> Column:
     )
 
 
-def request_status(text: Column, word: str = "for", allow_dates: bool = False) -> Column:
-    """ok, bad_time or incomplete."""
-    parts = [place_from(text), place_to(text, word), day_word(text, word, allow_dates), time_word(text)]
+def request_status(pickup: Column, dropoff: Column, day: Column, clock: Column) -> Column:
+    """ok, bad_time or incomplete, from the captured parts."""
     complete = F.lit(True)
-    for part in parts:
+    for part in (pickup, dropoff, day, clock):
         complete = complete & F.coalesce(part != "", F.lit(False))
-    return F.when(~complete, "incomplete").when(time_word(text).rlike(TIME_FORMAT), "ok").otherwise("bad_time")
+    return F.when(~complete, "incomplete").when(clock.rlike(TIME_FORMAT), "ok").otherwise("bad_time")
 
 
 def resolve_day(day: Column, as_of: date) -> Column:

@@ -47,7 +47,7 @@ def enrich_dropoff_zone(trips: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def drop_null_zone(trips: DataFrame) -> DataFrame:
-    return trips.dropna(subset=["pu_zone", "do_zone"])
+    return trips.filter(F.col("pu_zone").isNotNull() & F.col("do_zone").isNotNull())
 
 
 def enrich_trips(trips: DataFrame, zones: DataFrame) -> DataFrame:

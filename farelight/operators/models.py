@@ -66,13 +66,13 @@ def feature_vector(df: DataFrame, spec: ModelSpec, output: str = "features") ->
 
 def category_levels(df: DataFrame, columns: tuple[str, ...]) -> dict[str, list[int]]:
     """Distinct values per column, ascending. They become columns, so there may only be a few."""
-    levels = {}
-    for column in columns:
-        found = df.select(F.col(column).cast("int")).distinct().limit(MAX_LEVELS + 1).collect()
-        if len(found) > MAX_LEVELS:
-            raise ValueError(f"{column} has more than {MAX_LEVELS} values")
-        levels[column] = sorted(row[0] for row in found if row[0] is not None)
-    return levels
+    if not columns:
+        return {}
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("int").alias("value")) for c in columns])
+    found = df.select(F.inline(pairs)).distinct().limit(MAX_LEVELS + 1).collect()
+    if len(found) > MAX_LEVELS:
+        raise ValueError(f"{', '.join(columns)} have more than {MAX_LEVELS} values")
+    return {c: sorted(row["value"] for row in found if row["name"] == c and row["value"] is not None) for c in columns}
 
 
 def dummy_names(levels: dict[str, list[int]]) -> list[str]:

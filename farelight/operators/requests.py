@@ -15,15 +15,16 @@ from farelight.operators import models
 def request_extract(df: DataFrame, column: str = "text", word: str = "for", allow_dates: bool = False) -> DataFrame:
     """Add what a request names: places, day, time and whether it is complete."""
     message = F.col(column)
-    return df.withColumns(
+    parts = df.withColumns(
         {
             "pickup_place": text.place_from(message),
             "dropoff_place": text.place_to(message, word),
             "day": text.day_word(message, word, allow_dates),
             "clock": text.time_word(message),
-            "request_status": text.request_status(message, word, allow_dates),
         }
     )
+    named = [F.col(name) for name in ("pickup_place", "dropoff_place", "day", "clock")]
+    return parts.withColumn("request_status", text.request_status(*named))
 
 
 def intent_classify(df: DataFrame, column: str = "text", turn: str = "turn") -> DataFrame:

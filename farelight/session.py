@@ -88,7 +88,4 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     execution splits skewed partitions of it.
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if kept.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(kept)
-    kept.unpersist()
-    return df
+    return F.broadcast(kept) if kept.count() <= max_rows else kept
