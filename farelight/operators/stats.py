@@ -95,14 +95,16 @@ def regression_metrics(df: DataFrame, label: str, prediction: str = "prediction"
 
 def residual_histogram(df: DataFrame, residual: str = "residual", bins: int = RESIDUAL_BINS) -> DataFrame:
     """(bin, low, high, n) of equal-width bins from the minimum to the maximum."""
-    ends = df.agg(F.struct(F.min(residual).alias("lo"), F.max(residual).alias("hi"))).scalar()
-    width = (ends["hi"] - ends["lo"]) / bins
-    position = F.when(width > 0, F.least(F.floor((F.col(residual) - ends["lo"]) / width), F.lit(bins - 1))).otherwise(0)
-    counted = df.filter(F.col(residual).isNotNull()).groupBy(position.alias("bin")).agg(
-        F.count("*").alias("n"), F.any_value(F.struct(ends["lo"].alias("lo"), width.alias("width"))).alias("_e")
+    low, high = df.agg(F.min(residual), F.max(residual)).first()
+    if low is None:
+        return df.sparkSession.createDataFrame([], "bin bigint, low double, high double, n bigint")
+    width = (high - low) / bins
+    position = F.floor((F.col(residual) - low) / width) if width else F.lit(0).cast("bigint")
+    binned = df.filter(F.col(residual).isNotNull()).select(F.least(position, F.lit(bins - 1).cast("bigint")).alias("bin"))
+    start = F.lit(low) + F.col("bin") * width
+    return binned.groupBy("bin").agg(F.count("*").alias("n")).select(
+        "bin", start.alias("low"), (start + width).alias("high"), "n"
     )
-    low = F.col("_e.lo") + F.col("bin") * F.col("_e.width")
-    return counted.select("bin", low.alias("low"), (low + F.col("_e.width")).alias("high"), "n")
 
 
 def residual_kde(df: DataFrame, residual: str = "residual", points: int = RESIDUAL_BINS) -> DataFrame:
