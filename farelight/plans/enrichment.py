@@ -7,26 +7,15 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from farelight.operators.enrich import KEY_COLUMNS, incremental_enrich
+from farelight.operators.enrich import incremental_enrich, stored_keys
 from farelight.session import build_session
 from farelight.sources import sinks
 from farelight.sources.tables import path_exists, table_scan
 from farelight.sources.zones import zones_scan
 
-MAX_MONTHS = 10_000
-
-
-def months_of(trips: DataFrame) -> list[str]:
-    """The months present; a directory listing's worth of values."""
-    found = [row[0] for row in trips.select("partition_dt").distinct().limit(MAX_MONTHS + 1).collect()]
-    if len(found) > MAX_MONTHS:
-        raise ValueError(f"more than {MAX_MONTHS} months in one run")
-    return found
-
-
 def run(
     spark: SparkSession, trips_path: str, zones_path: str, output: str, trip_type: str | None = None, dedupe_batch: bool = False
 ) -> int:
@@ -34,16 +23,13 @@ def run(
     trips = table_scan(spark, trips_path)
     if trip_type:
         trips = trips.filter(F.col("trip_type") == trip_type)
-    existing = None
+    existing, before = None, 0
     if path_exists(spark, output):
-        # Keys are compared within a month: months that are not in the batch are not read.
-        existing = table_scan(spark, output).filter(F.col("partition_dt").isin(months_of(trips))).select(*KEY_COLUMNS)
+        stored = table_scan(spark, output)
+        existing, before = stored_keys(stored, trips), stored.count()
     rows = incremental_enrich(trips, existing, zones_scan(spark, zones_path), dedupe_batch=dedupe_batch)
-    before = 0 if existing is None else table_scan(spark, output).count()
-    if existing is not None and rows.isEmpty():
-        return 0
     sinks.partitioned_append(rows, output)
-    return table_scan(spark, output).count() - before
+    return spark.read.schema(rows.schema).parquet(output).count() - before
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -84,13 +84,15 @@ def run(
     entry = {"latest_lnd_folder": newest, "latest_unprocessed_folder": newest, "status": "unprocessed", "execution_dt": today}
     if decision["reason"] == "new_folder":
         store_status(spark, status, "", entry)
+    # Text is parsed once; means, audit and output then read columns.
     typed = projection.typed_projection(landing_scan(spark, f"{landing}/{newest}", multi_line=multi_line))
-    holidays = us_holidays(*holiday_years(as_of))
-    measured = materialize(measured_trips(typed, holidays), "measured")
-    audit = cleaning.reject_audit(measured, as_of.year, ["batch_id"])
-    trips = projection.trip_keys(cleaning.apply_rules(measured, as_of.year))
-    cleaning.assert_non_empty(trips).collect()
-    sinks.rerun_overwrite(trips, f"{output}/{today}")
+    measured = measured_trips(materialize(typed, "typed"), us_holidays(*holiday_years(as_of)))
+    audit = cleaning.reject_audit(projection.trip_keys(measured), as_of.year, ["batch_id", "trip_type"])
+    audit = materialize(audit, "audit")
+    kept = {row[0] for row in audit.filter(F.col("rule") == 0).select("trip_type").distinct().collect()}
+    if kept != {"short_trip", "long_trip"}:
+        raise ValueError(f"a trip type has no rows; found {sorted(kept)}")
+    sinks.rerun_overwrite(projection.trip_keys(cleaning.apply_rules(measured, as_of.year)), f"{output}/{today}")
     store_status(spark, status, newest, None)
     return audit
 

@@ -56,7 +56,8 @@ def run(
     model = models.fit_model(train, spec, regressor, params)
     model_path = f"{output}/{target}/{trip_type}/models/{regressor}"
     model.write().overwrite().save(model_path)
-    scored = models.holdout_evaluate(model, test, spec, ("chunk_id",))
+    # One row per chunk from here on: the history is computed without predicting again.
+    scored = materialize(models.holdout_evaluate(model, test, spec, ("chunk_id",)), "evaluated")
     history = sequence.patience_counter(
         scored.select("chunk_id", "rmse", "r2", "mae"), wrap=None if regressor == "linear_regressor" else models.PATIENCE
     ).withColumn("model_path", F.lit(model_path))

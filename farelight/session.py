@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 # A broadcast side has to fit comfortably next to everything else on each executor.
 BROADCAST_MAX_ROWS = 200_000
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -31,7 +33,12 @@ def build_session(app: str = "farelight", master: str | None = None, **extra: st
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    context = spark.sparkContext
+    if not context.master.startswith("local") and spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        # Shuffles start with many small partitions; adaptive execution merges what is too small.
+        spark.conf.set(INITIAL_PARTITIONS, str(max(200, 8 * context.defaultParallelism)))
+    return spark
 
 
 def prepare(spark: SparkSession) -> SparkSession:
