@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from farelight.catalog import views
 from farelight.catalog.registry import query
 from farelight.functions import geo
-from farelight.operators import zones
+from farelight.operators import requests, zones
 
 # Area and first moments of a parcel, in 1/10000 degrees: outer ring, added hole, shifted copy.
 MEASURES = """
@@ -102,6 +102,29 @@ def haversine_km(spark, sf_dir):
     return rows.select("trip_key", F.round(distance, 6).alias("km"))
 
 
+@query(
+    "request_distances",
+    "SELECT trip_key, round(haversine_centroid_distance, 6) AS km, round(CASE WHEN batch_id = 1 THEN haversine_centroid_distance "
+    "ELSE trip_distance END, 6) AS trip_distance FROM enriched",
+    ("enriched",),
+)
+def request_distances(spark, sf_dir):
+    rows = views.enriched(spark, sf_dir)
+    places = rows.select(
+        "trip_key",
+        F.when(F.col("batch_id") != 1, F.col("trip_distance")).alias("trip_distance"),
+        *[
+            F.element_at(f"{end}_coordinates", position).cast("double").alias(f"{end}_{name}")
+            for end in ("pickup", "dropoff")
+            for name, position in (("lon", 1), ("lat", -1))
+        ],
+    )
+    found = requests.request_distances(places)
+    return found.select(
+        "trip_key", F.round("haversine_centroid_distance", 6).alias("km"), F.round("trip_distance", 6).alias("trip_distance")
+    )
+
+
 @query(
     "build_zones",
     r"""SELECT r.objectid, r.location_id, r.zone, r.borough, round(a / 1e8, 10) AS polygon_area, round(cx, 8) AS lon, round(cy, 8) AS lat

@@ -153,7 +153,7 @@ def voting_mean(spark, sf_dir):
 
 def _evaluated(spark, sf_dir, spec, regressor, params=None):
     rows = _rows(spark, sf_dir).select("trip_type", "is_train", spec.target, *spec.features)
-    rows = materialize(stats.quantile_trim(rows, spec.target, ("trip_type",)), "model_rows")
+    rows = stats.quantile_trim(materialize(rows, "model_rows"), spec.target, ("trip_type",))
     model = models.fit_model(rows.filter("is_train"), spec, regressor, params)
     return models.holdout_evaluate(model, rows.filter(~F.col("is_train")), spec, ("trip_type",))
 

@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from farelight.operators import stats
-from farelight.session import broadcast_if_small
+from farelight.session import broadcast_if_small, shared_root
 from farelight.sources.tables import COST_COLUMNS, DURATION_COLUMNS
 
 
@@ -205,6 +205,10 @@ def model_input(df: DataFrame, spec: ModelSpec, extra: tuple[str, ...] = ()) ->
 
 def fit_model(train: DataFrame, spec: ModelSpec, regressor: str, params: dict | None = None) -> PipelineModel:
     """One distributed fit on all training rows, which are kept for the passes it makes."""
+    context = train.sparkSession.sparkContext
+    if regressor == "randomforest_regressor" and context.getCheckpointDir() is None:
+        # Deep forests cut the lineage of their node ids every few levels.
+        context.setCheckpointDir(shared_root(train.sparkSession))
     rows = model_input(train, spec).persist()
     try:
         return build_pipeline(rows, spec, regressor, params).fit(rows)

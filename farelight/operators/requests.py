@@ -8,7 +8,7 @@ from pyspark.ml import Transformer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farelight.functions import calendar, text, trip
+from farelight.functions import calendar, geo, text, trip
 from farelight.operators import models
 
 
@@ -71,6 +71,18 @@ def end_features(
     )
 
 
+def request_distances(df: DataFrame) -> DataFrame:
+    """Add ``haversine_centroid_distance`` of the places' coordinates, in km.
+
+    Needs ``pickup_lon``, ``pickup_lat``, ``dropoff_lon`` and ``dropoff_lat``. It also stands in for
+    ``trip_distance`` where no driven distance is given.
+    """
+    ends = [geo.radians(F.col(c)) for c in ("pickup_lat", "pickup_lon", "dropoff_lat", "dropoff_lon")]
+    rows = df.withColumn("haversine_centroid_distance", geo.haversine_from_radians(*ends))
+    given = F.col("trip_distance") if "trip_distance" in df.columns else F.lit(None).cast("double")
+    return rows.withColumn("trip_distance", F.coalesce(given, F.col("haversine_centroid_distance")))
+
+
 def dropoff_time(pickup: Column, minutes: Column) -> Column:
     return pickup + F.make_dt_interval(secs=F.round(minutes * 60, 6).cast("decimal(18,6)"))
 
