@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelight.functions import geo
-from farelight.session import broadcast_if_small
+from farelight.session import broadcast_if_small, materialize
 
 KEY_COLUMNS = ("trip_type", "partition_dt", "hashing_key")
 
@@ -72,17 +72,18 @@ def new_keys_anti(new: DataFrame, existing: DataFrame, keys: tuple[str, ...] = K
 
 
 def semi_by_key(df: DataFrame, wanted: DataFrame, keys: tuple[str, ...] = KEY_COLUMNS) -> DataFrame:
-    return df.join(wanted.select(*keys), list(keys), "left_semi")
+    return df.join(materialize(distinct_keys(wanted, keys), "keys"), list(keys), "left_semi")
 
 
 def unseen_trips(new: DataFrame, existing: DataFrame, keys: tuple[str, ...] = KEY_COLUMNS) -> DataFrame:
     """Trips whose key is not stored yet; repeated trips inside ``new`` are kept.
 
     One anti join against the pre-aggregated keys does what a key difference followed by
-    a membership filter would. Copies of one trip may be many: adaptive execution splits
-    the trip side of a skewed anti-join partition, so they need not fit one task.
+    a membership filter would. Copies of one trip may be many: as the distinct keys are
+    stored first, both join sides are plain shuffles, and adaptive execution splits the
+    trips of a skewed partition over tasks.
     """
-    return new.join(distinct_keys(existing, keys), list(keys), "left_anti")
+    return new.join(materialize(distinct_keys(existing, keys), "keys"), list(keys), "left_anti")
 
 
 MAX_MONTHS = 10_000

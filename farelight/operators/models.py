@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from farelight.operators import stats
-from farelight.session import broadcast_if_small, shared_root
+from farelight.session import broadcast_if_small, materialize, shared_root
 from farelight.sources.tables import COST_COLUMNS, DURATION_COLUMNS
 
 
@@ -355,9 +355,12 @@ def ensemble_mean(rows: DataFrame, models: list[Transformer], output: str) -> Da
 
 
 def prediction_cache(rows: DataFrame, features: list[str], score, output: str) -> DataFrame:
-    """Score each distinct feature vector once and hand the result to all rows that have it."""
+    """Score each distinct feature vector once and hand the result to all rows that have it.
+
+    The scores are stored: they are computed once, and a vector many rows share can be split.
+    """
     distinct = rows.select(*features).distinct()
-    scored = score(distinct).select(*[F.col(f).alias(f"_k_{f}") for f in features], output)
+    scored = materialize(score(distinct).select(*[F.col(f).alias(f"_k_{f}") for f in features], output), "scores")
     same = [F.col(f).eqNullSafe(F.col(f"_k_{f}")) for f in features]
     condition = same[0]
     for part in same[1:]:

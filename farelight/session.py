@@ -91,8 +91,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     """Hint a broadcast when ``df`` is counted to be within ``max_rows``.
 
     The rows are kept for the join, so the check costs no second evaluation. Above the
-    bound the frame is returned unhinted: Spark then shuffles the join, and adaptive
-    execution splits skewed partitions of it.
+    bound the frame is stored and returned unhinted: Spark then shuffles both sides of the
+    join, and adaptive execution splits partitions of a hot key. It only does so for sides
+    that are read and shuffled as they are, hence the table and not the aggregation.
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+    if kept.count() <= max_rows:
+        return F.broadcast(kept)
+    stored = materialize(kept, "side")
+    kept.unpersist()
+    return stored

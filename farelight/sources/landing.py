@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from farelight.session import broadcast_if_small
+
 # The raw columns in use, and the width of a complete raw row.
 LANDING_COLUMNS = (
     "tpep_pickup_datetime",
@@ -87,7 +89,7 @@ def file_schema_guard(
 ) -> DataFrame:
     """Landing rows of the files that have exactly ``width`` columns."""
     complete = file_widths(spark, path, multi_line).filter(F.col("width") == width).select("batch_id")
-    return landing_scan(spark, path, columns, multi_line).join(complete, "batch_id", "left_semi")
+    return landing_scan(spark, path, columns, multi_line).join(broadcast_if_small(complete), "batch_id", "left_semi")
 
 
 def multi_file_concat(frames: list[DataFrame], schema: T.StructType, spark: SparkSession) -> DataFrame:

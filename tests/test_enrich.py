@@ -82,3 +82,33 @@ def test_hot_key(spark):
     )
     assert enrich.unseen_trips(rows, rows.filter("hashing_key = 'hot'").limit(1)).count() == 20000
     assert enrich.unseen_trips(rows, rows.filter("hashing_key = '1'")).count() == 29999
+
+
+def test_hot_key_is_split_over_tasks(spark):
+    """With sizes scaled down, adaptive execution splits the anti-join partition of a hot key."""
+    scaled = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20kb",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10kb",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in scaled}
+    try:
+        for k, v in scaled.items():
+            spark.conf.set(k, v)
+        rows = spark.range(0, 60000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("hashing_key"),
+            F.lit("202101").alias("partition_dt"), F.lit("short_trip").alias("trip_type"), F.md5(F.col("id").cast("string")).alias("payload"),
+        )
+        unseen = enrich.unseen_trips(rows, rows.filter("hashing_key LIKE '1%'"))
+        assert unseen.count() > 20000
+        collected = unseen.agg(F.count("payload").alias("n"))
+        assert collected.first()["n"] == rows.filter("hashing_key NOT LIKE '1%'").count()
+        collected.collect()
+        plan = collected._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
