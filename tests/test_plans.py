@@ -41,7 +41,7 @@ def test_from_landing_to_answers(spark, tmp_path):
     p = {name: str(tmp_path / name) for name in ("landing", "clean", "status", "zones", "enriched", "models")}
     (tmp_path / "landing" / "20240417").mkdir(parents=True)
     for seed in range(2):
-        with open(tmp_path / "landing" / "20240417" / f"yellow_{seed}.json", "w") as f:
+        with open(tmp_path / "landing" / "20240417" / f"trips_{seed}.json", "w") as f:
             json.dump(raw_trips(400, seed), f, indent=4)
     today = date(2024, 5, 5)
     audit = processing.run(spark, p["landing"], p["clean"], p["status"], today)
