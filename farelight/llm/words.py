@@ -7,12 +7,10 @@ words. Nothing is done per word in Python, and a text of any length is only a lo
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
 
 #: Bytes per slice of a batch that is worked on at once; one longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
@@ -145,6 +143,3 @@ def shingle_sets(texts: pa.Array, width: int, letters: np.ndarray = SPACED) -> I
             for i in range(end - row):
                 yield row + i, np.unique(hashes[begin[i] : begin[i + 1]])
 
-
-# Functions sent to executors carry this module along; it need not be installed there.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
