@@ -6,10 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from farelight.llm.decontaminate import OP6_SQL, op6_benchmark_decontamination
+from farelight.llm.mixing import OP3_SQL, op3_mixing_sources
 from farelight.llm.ngram_join import op1_ngram_jaccard_join
+from farelight.llm.quality_rules import op10_quality_classifier
+from farelight.llm.sharding import op9_sharding
 
-_ALL = (op1_ngram_jaccard_join,)
+_ALL = (
+    op1_ngram_jaccard_join,
+    op3_mixing_sources,
+    op6_benchmark_decontamination,
+    op9_sharding,
+    op10_quality_classifier,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_mixing_sources": OP3_SQL,
+    "op6_benchmark_decontamination": OP6_SQL,
+}
