@@ -185,7 +185,7 @@ OP6_SQL = """
       FROM spelled),
     cut AS (
       SELECT kind, id, unnest(CASE WHEN len(w) >= 5
-               THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i : i + 4], ' '))
+               THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))
                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
       FROM lists),
     sets AS (SELECT DISTINCT kind, id, shingle FROM cut),
