@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelight.llm import words
-from farelight.llm.tables import documents
+from farelight.llm.tables import batch_map, documents
 from farelight.session import materialize
 
 #: A block of items has at most about so many shingles (8 bytes each); larger benchmarks make more blocks.
@@ -90,7 +90,7 @@ def item_blocks(items: DataFrame, width: int, percent: int, id_column: str = "it
                         names=["id", "n", "shingles"],
                     )
 
-    sets = materialize(items.select(id_column, text_column).mapInArrow(run, f"id {kind}, n long, shingles array<long>"), "items")
+    sets = materialize(batch_map(items.select(id_column, text_column), run, f"id {kind}, n long, shingles array<long>"), "items")
     total = sets.agg(F.sum("n")).first()[0] or 0
     blocks = -(-total // BLOCK_SHINGLES)
     for b in range(blocks):
@@ -116,7 +116,7 @@ def find_leaks(
     out = None
     for block in item_blocks(items, width, percent, item_column, item_text):
         sent = spark.sparkContext.broadcast(block)
-        out = _merge(out, docs.select(id_column, text_column).mapInArrow(
+        out = _merge(out, batch_map(docs.select(id_column, text_column),
             _find(sent, width, percent), f"id {doc_type}, item long, n_shingles long, n_common long, item_id {item_type.simpleString()}"
         ))
     if out is None:
@@ -156,7 +156,7 @@ def remove_leaks(
     at = docs.columns.index(text_column)
     for block in item_blocks(items, width, percent, item_column, item_text):
         sent = docs.sparkSession.sparkContext.broadcast(block)
-        docs = docs.mapInArrow(_drop(sent, at, width, percent), docs.schema)
+        docs = batch_map(docs, _drop(sent, at, width, percent), docs.schema)
     return docs
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelight.llm import words
-from farelight.llm.tables import documents, fresh, hint_small
+from farelight.llm.tables import batch_map, documents, fresh, hint_small
 from farelight.session import materialize
 
 SEED = 11
@@ -90,7 +90,7 @@ class Mix:
     def __init__(self, docs: DataFrame, id_column: str = "doc_id", source_column: str = "source", text_column: str = "text"):
         self.docs, self.id_column, self.source_column = docs, id_column, source_column
         kinds = [docs.schema[c].dataType.simpleString() for c in (id_column, source_column)]
-        sized = docs.select(id_column, source_column, text_column).mapInArrow(
+        sized = batch_map(docs.select(id_column, source_column, text_column),
             _count_words, f"_id {kinds[0]}, _source {kinds[1]}, size long"
         )
         self.sized = materialize(sized.withColumn("h", _order("_id")), "sized")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farelight.llm import words
-from farelight.llm.tables import documents, fresh
+from farelight.llm.tables import batch_map, documents, fresh
 from farelight.session import materialize
 
 #: At most so many labelled rows are learned from, those of the smallest hashes of their ids.
@@ -130,7 +130,7 @@ def with_statistics(docs: DataFrame, text_column: str = "text") -> tuple[DataFra
     fields = ", ".join(f"{s}: double" for s in STATISTICS)
     schema = F.lit(None).cast(f"struct<{fields}>")
     out = docs.withColumn(name, schema).schema
-    return docs.mapInArrow(run, out), name
+    return batch_map(docs, run, out), name
 
 
 @dataclass(frozen=True)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from farelight.llm.decontaminate import OP6_SQL, op6_benchmark_decontamination
+from farelight.llm.language_id import op2_language_id
 from farelight.llm.mixing import OP3_SQL, op3_mixing_sources
 from farelight.llm.ngram_join import op1_ngram_jaccard_join
 from farelight.llm.quality_rules import op10_quality_classifier
@@ -14,6 +15,7 @@ from farelight.llm.sharding import op9_sharding
 
 _ALL = (
     op1_ngram_jaccard_join,
+    op2_language_id,
     op3_mixing_sources,
     op6_benchmark_decontamination,
     op9_sharding,

@@ -14,6 +14,9 @@ from farelight.session import materialize
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 << 20
 
+#: Rows of an Arrow batch.
+BATCH_ROWS = 512
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -54,14 +57,12 @@ def same(left: str, right: str, *columns: str):
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
 
 
-def map_batches(df: DataFrame, make: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with ``make() -> function of a record batch that yields record batches``."""
-
-    def run(batches):
-        work = make()
-        for batch in batches:
-            yield from work(batch)
+def batch_map(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``mapInArrow`` over batches of at most ``BATCH_ROWS`` rows, as rows may hold long texts.
 
+    The size of batches is a setting of the session; it is the same for all operators here.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.mapInArrow(run, schema)
 
 
