@@ -8,16 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from farelight.llm.decontaminate import OP6_SQL, op6_benchmark_decontamination
 from farelight.llm.language_id import op2_language_id
+from farelight.llm.license_scan import op4_license_scan
 from farelight.llm.mixing import OP3_SQL, op3_mixing_sources
+from farelight.llm.multi_index import op8_approximate_neighbours
 from farelight.llm.ngram_join import op1_ngram_jaccard_join
 from farelight.llm.quality_rules import op10_quality_classifier
+from farelight.llm.secret_scan import op7_secret_scan
 from farelight.llm.sharding import op9_sharding
+from farelight.llm.url_filter import OP5_SQL, op5_url_filter
 
 _ALL = (
     op1_ngram_jaccard_join,
     op2_language_id,
     op3_mixing_sources,
+    op4_license_scan,
+    op5_url_filter,
     op6_benchmark_decontamination,
+    op7_secret_scan,
+    op8_approximate_neighbours,
     op9_sharding,
     op10_quality_classifier,
 )
@@ -26,5 +34,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
 
 ORACLES: dict[str, str] = {
     "op3_mixing_sources": OP3_SQL,
+    "op5_url_filter": OP5_SQL,
     "op6_benchmark_decontamination": OP6_SQL,
 }
