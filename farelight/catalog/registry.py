@@ -14,7 +14,6 @@ ORACLES: dict[str, str] = {}
 
 AS_OF = date(2026, 12, 31)
 HOLIDAY_YEARS = (1995, 2002)
-BLOCK_DIGITS = 3
 
 # Named subqueries over the test tables, in dependency order.
 CTES = {
@@ -134,7 +133,7 @@ CTES = {
         FROM scores WINDOW w AS (ORDER BY chunk_id)""",
     "improvements": """
         SELECT *, best IS NULL OR rmse < best AS improved,
-               CASE WHEN rmse < best THEN round(((rmse / first_rmse) - 1) * -1 * 100, 2) ELSE 0.0 END AS percentage_improvement
+               CASE WHEN rmse < best THEN round((1 - rmse / first_rmse) * 100, 2) ELSE 0.0 END AS percentage_improvement
         FROM judged""",
     "pages": """
         SELECT CASE p % 4 WHEN 1 THEN p + 1 WHEN 2 THEN p - 1 ELSE p END AS page_id, max(ts) AS max_date
@@ -160,9 +159,9 @@ CTES = {
           WHEN k = 4 THEN concat('from ', pu, ' to ', dest, ' for ', dy, ' at 9:00')
           ELSE concat('I would like to go from ', pu, ' to ', dest, ' for ', dy, ' at ', clock) END AS text
         FROM (SELECT *, (o_orderkey * 7) % 12 AS k,
-                CASE o_custkey % 4 WHEN 0 THEN 'Brooklyn Museum' WHEN 1 THEN 'Pier ' || (o_custkey % 90)::VARCHAR || ', West Side'
-                     WHEN 2 THEN 'Canarsie High School, Block ' || o_custkey::VARCHAR || ', East' ELSE 'Market ' || o_custkey::VARCHAR END AS pu,
-                CASE o_orderkey % 3 WHEN 0 THEN 'Conservatory Garden, Central Park' WHEN 1 THEN 'Gate ' || (o_orderkey % 50)::VARCHAR
+                CASE o_custkey % 4 WHEN 0 THEN 'Lantern Museum' WHEN 1 THEN 'Pier ' || (o_custkey % 90)::VARCHAR || ', Quay Side'
+                     WHEN 2 THEN 'Harbour Depot, Row ' || o_custkey::VARCHAR || ', East' ELSE 'Market ' || o_custkey::VARCHAR END AS pu,
+                CASE o_orderkey % 3 WHEN 0 THEN 'Glass House, Long Meadow' WHEN 1 THEN 'Gate ' || (o_orderkey % 50)::VARCHAR
                      ELSE 'Union Square' END AS dest,
                 CASE o_orderkey % 6 WHEN 0 THEN 'today' WHEN 1 THEN 'tomorrow' WHEN 2 THEN 'Friday' WHEN 3 THEN 'monday'
                      WHEN 4 THEN (o_orderkey % 12 + 1)::VARCHAR || '/' || (o_orderkey % 28 + 1)::VARCHAR ELSE 'Sunday' END AS dy,

@@ -61,10 +61,10 @@ def row_index(spark, sf_dir):
 
 @query(
     "ordered_index",
-    "SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS row_index FROM events WHERE event_type <> 'error'",
+    "SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS row_index FROM events",
 )
 def ordered_index(spark, sf_dir):
-    rows = views.table(spark, sf_dir, "events").filter(F.col("event_type") != "error")
+    rows = views.table(spark, sf_dir, "events")
     block = F.floor(F.col("event_id") / sequence.ROWS_PER_BLOCK)
     return sequence.ordered_index(rows, block, ["event_id"]).select("event_id", "row_index")
 
@@ -72,10 +72,10 @@ def ordered_index(spark, sf_dir):
 @query(
     "page_slice",
     "SELECT event_id, page_id FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS i, "
-    "(row_number() OVER (ORDER BY event_id) - 1) // 250 AS page_id FROM events WHERE event_type <> 'error') WHERE i >= 750",
+    "(row_number() OVER (ORDER BY event_id) - 1) // 250 AS page_id FROM events) WHERE i >= 750",
 )
 def page_slice(spark, sf_dir):
-    rows = views.table(spark, sf_dir, "events").filter(F.col("event_type") != "error")
+    rows = views.table(spark, sf_dir, "events")
     block = F.floor(F.col("event_id") / sequence.ROWS_PER_BLOCK)
     indexed = sequence.ordered_index(rows, block, ["event_id"])
     pages = sequence.page_slice(indexed, 750, 2**62)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -48,6 +49,16 @@ def landing_scan(spark, sf_dir):
     return _typed(landing.landing_scan(spark, _write_landing(spark, sf_dir), WITH_KEY, multi_line=False))
 
 
+@query("landing_scan_arrays", f"SELECT {RAW} FROM trips", ("trips",))
+def landing_scan_arrays(spark, sf_dir):
+    """Files that hold one array of documents each."""
+    path = work_path(spark, "arrays")
+    extra = {name: F.lit("0") for name in UNUSED[1:8]}
+    rows = views.raw_trips(spark, sf_dir).withColumns({"vendorid": F.col("trip_key"), **extra}).drop("trip_key", "batch_id")
+    sinks.json_array_sink(rows, path, F.pmod(F.xxhash64("vendorid"), F.lit(64)), one_per_file=True)
+    return _typed(landing.landing_scan(spark, path, WITH_KEY, multi_line=True, glob="*.txt"))
+
+
 @query("file_schema_guard", f"SELECT {RAW} FROM trips WHERE batch_id <> 7", ("trips",))
 def file_schema_guard(spark, sf_dir):
     paths = _write_landing(spark, sf_dir, by_batch=True)
@@ -196,6 +207,27 @@ def latest_snapshot(spark, sf_dir):
     return found.agg(F.lit(newest).alias("folder_name"), F.count("*").alias("n_rows"))
 
 
+@query(
+    "latest_by_time",
+    "SELECT 'second' AS folder_name, true AS newest_file_inside, count(*) AS n_rows FROM orders WHERE o_orderkey % 2 = 1",
+)
+def latest_by_time(spark, sf_dir):
+    """The newest folder and file by their times, not their names."""
+    root = work_path(spark, "by_time")
+    rows = views.table(spark, sf_dir, "orders").select("o_orderkey")
+    for remainder, name in enumerate(("zz_first", "second")):
+        sinks.ndjson_sink(rows.filter(F.col("o_orderkey") % 2 == remainder), f"{root}/{name}")
+        # File systems may keep whole seconds only.
+        time.sleep(1.1)
+    files = snapshots.list_files(spark, root, "*.json")
+    newest = snapshots.latest_folder(files, root).first()["folder_name"]
+    file = snapshots.latest_file(files, ".json").first()["path"]
+    found = spark.read.schema("o_orderkey bigint").json(f"{root}/{newest}")
+    return found.agg(
+        F.lit(newest).alias("folder_name"), F.lit(f"/{newest}/" in file).alias("newest_file_inside"), F.count("*").alias("n_rows")
+    )
+
+
 def _write_checkpoints(spark, sf_dir):
     path = work_path(spark, "marks")
     pages = incremental.max_event_time(views.event_pages(spark, sf_dir), "ts", "page_id")

@@ -40,6 +40,23 @@ def request_extract_dates(spark, sf_dir):
     return requests.request_extract(views.request_texts(spark, sf_dir), allow_dates=True).drop("turn", "text")
 
 
+SAID_ON = PARTS.replace("for", "on").replace("FROM request_texts", "FROM (SELECT * REPLACE (regexp_replace(text, '(?i)\\bfor\\b', 'on', 'g') AS text) FROM request_texts)")
+
+
+@query(
+    "request_extract_on",
+    f"""SELECT conv_id, pickup_place, dropoff_place, strict_day AS day, clock,
+        CASE WHEN pickup_place IS NULL OR dropoff_place IS NULL OR strict_day IS NULL OR clock IS NULL THEN 'incomplete'
+             WHEN regexp_matches(clock, '^\\d{{2}}:\\d{{2}}') THEN 'ok' ELSE 'bad_time' END AS request_status FROM {SAID_ON}""",
+    ("request_texts",),
+)
+def request_extract_on(spark, sf_dir):
+    """The same requests, naming the day with "on"."""
+    rows = views.request_texts(spark, sf_dir)
+    rows = rows.withColumn("text", F.regexp_replace("text", r"(?i)\bfor\b", "on"))
+    return requests.request_extract(rows, word="on").drop("turn", "text")
+
+
 MESSAGES = "(SELECT conv_id, turn, text FROM request_texts UNION ALL SELECT conv_id, turn, text FROM conversations)"
 PUNCTUATION = "!\"#$%&''()*+,-./:;<=>?@[\\]^_`{|}~"
 

@@ -210,13 +210,13 @@ def request_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return c.cast("string")
 
     pickup = (
-        F.when(customer % 4 == 0, "Brooklyn Museum")
-        .when(customer % 4 == 1, F.concat(F.lit("Pier "), text(customer % 90), F.lit(", West Side")))
-        .when(customer % 4 == 2, F.concat(F.lit("Canarsie High School, Block "), text(customer), F.lit(", East")))
+        F.when(customer % 4 == 0, "Lantern Museum")
+        .when(customer % 4 == 1, F.concat(F.lit("Pier "), text(customer % 90), F.lit(", Quay Side")))
+        .when(customer % 4 == 2, F.concat(F.lit("Harbour Depot, Row "), text(customer), F.lit(", East")))
         .otherwise(F.concat(F.lit("Market "), text(customer)))
     )
     target = (
-        F.when(key % 3 == 0, "Conservatory Garden, Central Park")
+        F.when(key % 3 == 0, "Glass House, Long Meadow")
         .when(key % 3 == 1, F.concat(F.lit("Gate "), text(key % 50)))
         .otherwise("Union Square")
     )

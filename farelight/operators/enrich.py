@@ -86,23 +86,14 @@ def unseen_trips(new: DataFrame, existing: DataFrame, keys: tuple[str, ...] = KE
     return new.join(materialize(distinct_keys(existing, keys), "keys"), list(keys), "left_anti")
 
 
-MAX_MONTHS = 10_000
-
-
-def months_of(trips: DataFrame) -> list[str]:
-    """The months present; a directory listing's worth of values."""
-    found = [row[0] for row in trips.select("partition_dt").distinct().limit(MAX_MONTHS + 1).collect()]
-    if len(found) > MAX_MONTHS:
-        raise ValueError(f"more than {MAX_MONTHS} months in one run")
-    return found
-
-
 def stored_keys(table: DataFrame, trips: DataFrame, keys: tuple[str, ...] = KEY_COLUMNS) -> DataFrame:
     """Keys of the stored months that ``trips`` has rows of.
 
-    Keys are compared within a month, so the other directories are not read.
+    Keys are compared within a month; the months reach the scan as a dynamic partition filter, so the other
+    directories are not read.
     """
-    return table.filter(F.col("partition_dt").isin(months_of(trips))).select(*keys)
+    months = broadcast_if_small(trips.select("partition_dt").distinct())
+    return table.join(months, "partition_dt", "left_semi").select(*keys)
 
 
 def drop_repeats(df: DataFrame, keys: tuple[str, ...] = KEY_COLUMNS) -> DataFrame:

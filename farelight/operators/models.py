@@ -55,6 +55,9 @@ FOREST = {"n_estimators": 100, "max_depth": 25, "max_samples": 0.25, "min_sample
 RIDGE = {"tol": 0.0001, "alpha": 0.1, "max_iter": 2000}
 ELASTIC_NET = {"alpha": 0.1, "l1_ratio": 0.1, "max_iter": 2000}
 
+# The deepest trees MLlib can fit.
+DEEPEST = 30
+
 REGRESSORS = ("linear_regressor", "randomforest_regressor", "voting_regressor")
 
 MAX_LEVELS = 1000
@@ -123,7 +126,7 @@ def forest_stages(spec: ModelSpec) -> list:
 
 def linear_regression(label: str, output: str = "prediction", features: str = "features") -> LinearRegression:
     return LinearRegression(
-        featuresCol=features, labelCol=label, predictionCol=output, regParam=0.0, solver="normal", standardization=False
+        featuresCol=features, labelCol=label, predictionCol=output, regParam=0.0, solver="normal", standardization=False, tol=1e-9, maxIter=1000
     )
 
 
@@ -176,10 +179,12 @@ def voting_stages(label: str, about: LabelStats, params: dict | None = None, fea
 
 
 def random_forest(label: str, params: dict = FOREST, features: str = "features") -> RandomForestRegressor:
-    """Five rows per leaf already imply the three rows a split needs. Depth ends at 30 here."""
+    """Five rows per leaf already imply the three rows a split needs. MLlib has no trees deeper than ``DEEPEST``."""
+    if int(params["max_depth"]) > DEEPEST:
+        raise ValueError(f"max_depth is {params['max_depth']}, at most {DEEPEST} can be fitted")
     return RandomForestRegressor(
         featuresCol=features, labelCol=label, predictionCol="prediction", seed=SEED, featureSubsetStrategy="all",
-        numTrees=int(params["n_estimators"]), maxDepth=min(int(params["max_depth"]), 30),
+        numTrees=int(params["n_estimators"]), maxDepth=int(params["max_depth"]),
         subsamplingRate=params["max_samples"], minInstancesPerNode=int(params["min_samples_leaf"]),
         maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10,
     )
@@ -310,25 +315,58 @@ def fold_least_squares(rows: DataFrame, features: list[str], label: str, fold: s
 
 
 def score_by_chunk(rows: DataFrame, fits: DataFrame, features: list[str], by: str = "chunk_id") -> DataFrame:
-    """Rows with the prediction of their own group's fit."""
+    """Rows with the prediction of their own group's fit; null for a group without one."""
     values = F.array(*[F.col(f).cast("double") for f in features])
     terms = F.zip_with(values, F.col("coefficients"), lambda x, w: x * w)
     prediction = F.col("intercept") + F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
-    joined = rows.join(broadcast_if_small(fits.select(by, "intercept", "coefficients")), by)
+    joined = rows.join(broadcast_if_small(fits.select(by, "intercept", "coefficients")), by, "left")
     return joined.withColumn("prediction", prediction).drop("intercept", "coefficients")
 
 
 # Hyper-parameters ------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class GrowthRule:
+    """How a hyper-parameter grows: whole numbers drop the fraction; beyond ``top`` it becomes ``beyond``."""
+
+    whole: bool = False
+    top: float = math.inf
+    beyond: float = math.inf
+
+    def next(self, value: float, factor: float) -> float:
+        larger = value * factor
+        if larger > self.top:
+            return self.beyond
+        return math.trunc(larger) if self.whole else larger
+
+
+# A share of the rows starts again from a half beyond all rows; depth and the share of the absolute penalty stay at
+# what can be fitted.
+GROWTH_RULES = {
+    "n_estimators": GrowthRule(whole=True),
+    "max_depth": GrowthRule(whole=True, top=DEEPEST, beyond=DEEPEST),
+    "max_samples": GrowthRule(top=1.0, beyond=0.5),
+    "min_samples_split": GrowthRule(whole=True),
+    "min_samples_leaf": GrowthRule(whole=True),
+    "tol": GrowthRule(),
+    "alpha": GrowthRule(),
+    "l1_ratio": GrowthRule(top=1.0, beyond=1.0),
+    "max_iter": GrowthRule(whole=True),
+}
+
+
 def grow(params: dict, factor: float = GROWTH) -> dict:
-    """The next parameters after a run without improvement: integers truncate, shares stay within 1."""
-    grown = {}
-    for name, value in params.items():
-        grown[name] = int(value * factor) if isinstance(value, int) else value * factor
-        if name == "max_samples" and grown[name] > 1.0:
-            grown[name] = 0.5
-    return grown
+    """The next parameters after a run without improvement; nested parameters grow by their own names."""
+    return {
+        name: grow(value, factor) if isinstance(value, dict) else GROWTH_RULES[name].next(value, factor)
+        for name, value in params.items()
+    }
+
+
+def start_params(regressor: str) -> dict:
+    """What a regressor is fitted with before any growth; a plain linear model has nothing to grow."""
+    return {"randomforest_regressor": FOREST, "voting_regressor": {"ridge": RIDGE, "elastic_net": ELASTIC_NET}}.get(regressor, {})
 
 
 def hyperparameter_growth(params: dict, steps: int, factor: float = GROWTH) -> list[dict]:

@@ -97,20 +97,29 @@ def batch_score(
     """Predicted duration, dropoff, cost and answer for requests.
 
     Needs ``pickup_ts``, ``trip_distance`` (km) and ``haversine_centroid_distance``. Requests
-    go to the models of their trip type; the predicted duration feeds the cost models.
+    go to the models of their trip type; the predicted duration feeds the cost models. All requests come back:
+    ``score_status`` is ``ok``, or ``no_model`` for a trip type that lacks models for either target and ``no_distance``
+    without a trip distance, with nulls for what could not be predicted.
     """
     rows = requests.withColumn("trip_type", trip.trip_type(F.col("trip_distance"), long_trip_km))
     rows = end_features(rows, "pickup", F.col("pickup_ts"), holidays)
-    scored = None
-    for kind in duration_models:
-        part = rows.filter(F.col("trip_type") == kind)
+    served = [kind for kind in duration_models if duration_models[kind] and cost_models.get(kind)]
+    known = F.coalesce(F.col("trip_type").isin(served) & F.col("trip_distance").isNotNull(), F.lit(False)) if served else F.lit(False)
+    rest = rows.filter(~known).withColumns(
+        {"trip_duration": F.lit(None).cast("double"), "trip_cost": F.lit(None).cast("double")}
+    )
+    rest = rest.withColumn("dropoff_ts", F.lit(None).cast("timestamp_ntz"))
+    rest = end_features(rest, "dropoff", F.col("dropoff_ts"), holidays)
+    status = F.when(F.col("trip_distance").isNull(), "no_distance").otherwise("no_model")
+    scored = rest.withColumn("score_status", status)
+    for kind in served:
+        part = rows.filter(known & (F.col("trip_type") == kind))
         part = models.ensemble_mean(part, duration_models[kind], "trip_duration")
         part = part.withColumn("dropoff_ts", dropoff_time(F.col("pickup_ts"), F.col("trip_duration")))
         part = end_features(part, "dropoff", F.col("dropoff_ts"), holidays)
         part = models.ensemble_mean(part, cost_models[kind], "trip_cost")
-        scored = part if scored is None else scored.unionByName(part)
+        scored = part.withColumn("score_status", F.lit("ok")).unionByName(scored)
     clock = F.date_format("pickup_ts", "HH:mm")
-    eta = text.eta(clock, F.col("trip_duration"))
-    return scored.withColumn("eta", eta).withColumn(
-        "answer", text.answer_text(F.col("trip_duration"), F.col("eta"), F.col("trip_cost"))
-    )
+    eta = F.when(F.col("score_status") == "ok", text.eta(clock, F.col("trip_duration")))
+    answer = text.answer_text(F.col("trip_duration"), F.col("eta"), F.col("trip_cost"))
+    return scored.withColumn("eta", eta).withColumn("answer", F.when(F.col("score_status") == "ok", answer))

@@ -61,7 +61,7 @@ def improvement_pct(scores: DataFrame, seq: str = "chunk_id") -> DataFrame:
     rows = running_before(scores, block, [seq], {"_best": ("min", F.col("rmse"))})
     first = scores.agg(F.min_by("rmse", seq)).scalar()
     better = F.col("rmse") < F.col("_best")
-    gain = F.round(((F.col("rmse") / first) - 1) * -1 * 100, 2)
+    gain = F.round((1 - F.col("rmse") / first) * 100, 2)
     return rows.withColumns(
         {
             "improved": F.col("_best").isNull() | better,
@@ -83,12 +83,20 @@ def patience_counter(scores: DataFrame, seq: str = "chunk_id", wrap: int | None
 
 
 def growth_steps(scores: DataFrame, seq: str = "chunk_id", wrap: int = 5) -> DataFrame:
-    """Add how often patience ran out so far: the hyper-parameters have grown that often."""
-    rows = patience_counter(scores, seq, wrap)
-    ran_out = ((F.col("patience") == 0) & ~F.col("improved")).cast("int")
+    """Add how often patience ran out up to this chunk: its fit uses hyper-parameters grown that often.
+
+    Patience is looked at before a chunk is fitted: it has run out when the last improvement of an earlier chunk is
+    ``wrap`` chunks back, or a multiple of that. Whether the chunk itself then improves makes no difference.
+    """
     block = F.floor(F.col(seq) / ROWS_PER_BLOCK)
-    rows = running_before(rows, block, [seq], {"growth_step": ("sum", ran_out)})
-    return rows.withColumn("growth_step", (F.col("growth_step") + ran_out).cast("int"))
+    rows = improvement_pct(scores, seq)
+    rows = running_before(rows, block, [seq], {"_position": ("sum", F.lit(1))})
+    rows = running_before(rows, block, [seq], {"_last": ("max", F.when(F.col("improved"), F.col("_position")))})
+    ran_out = F.coalesce(((F.col("_position") - F.col("_last")) % wrap == 0).cast("int"), F.lit(0))
+    rows = rows.withColumn("_ran_out", ran_out)
+    rows = running_before(rows, block, [seq], {"growth_step": ("sum", F.col("_ran_out"))})
+    rows = rows.withColumn("growth_step", (F.col("growth_step") + F.col("_ran_out")).cast("int"))
+    return rows.drop("_position", "_last", "_ran_out")
 
 
 # Row indexes -----------------------------------------------------------------------------
@@ -136,16 +144,28 @@ def digest(keys: list[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))).cast("binary"))
 
 
+def block_digits(rows: int, per_block: int = ROWS_PER_BLOCK) -> int:
+    """Hex digits of a digest that cut ``rows`` into blocks of at most ``per_block`` rows on average."""
+    digits = 1
+    while 16**digits * per_block < rows:
+        digits += 1
+    return digits
+
+
 def shuffled_index(
-    df: DataFrame, keys: list[str], seed: int = 1234, name: str = "row_index", digits: int = 3, slice_rows: int = 1_000_000
+    df: DataFrame, keys: list[str], seed: int = 1234, name: str = "row_index", digits: int | None = None,
+    slice_rows: int = 1_000_000,
 ) -> DataFrame:
     """Index rows from 0 in a seeded pseudo-random order of their digest.
 
     Identical rows are counted before the shuffle and get consecutive numbers, so however
     many copies a row has, they travel as one; long runs of copies are expanded in slices
-    spread over tasks. ``digits`` hex digits of the digest make 16^digits blocks.
+    spread over tasks. ``digits`` hex digits of the digest make 16^digits blocks; by default as many
+    as keep a block near ``ROWS_PER_BLOCK`` rows or below. The numbers do not depend on it.
     """
     columns = df.columns
+    if digits is None:
+        digits = block_digits(df.count())
     counted = df.groupBy(*columns).agg(F.count("*").alias("_copies")).withColumn("_digest", digest(keys, seed))
     block = F.substring("_digest", 1, digits)
     placed = running_before(counted, block, ["_digest", *columns], {"_start": ("sum", F.col("_copies"))})

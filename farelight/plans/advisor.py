@@ -18,6 +18,9 @@ from farelight.session import build_session
 from farelight.sources.tables import path_exists
 
 
+COORDINATES = ("pickup_lon", "pickup_lat", "dropoff_lon", "dropoff_lat")
+
+
 def load_models(spark: SparkSession, root: str, target: str, trip_type: str) -> list[PipelineModel]:
     """The stored regressors of a target and trip type."""
     paths = [f"{root}/{target}/{trip_type}/models/{name}" for name in models.REGRESSORS]
@@ -33,23 +36,22 @@ def latest_model_root(spark: SparkSession, root: str) -> str:
 
 
 def run(spark: SparkSession, texts: DataFrame, root: str, as_of: date) -> DataFrame:
-    """Answers to the complete requests among ``texts``.
+    """Answers to the complete requests among ``texts``; a request without models or distance keeps its row and a status.
 
-    ``texts`` carries the distances of its places: ``trip_distance`` in km and
-    ``haversine_centroid_distance``.
+    ``texts`` carries the distances of its places, ``trip_distance`` in km and ``haversine_centroid_distance``, or
+    their coordinates (``pickup_lon``, ``pickup_lat``, ``dropoff_lon``, ``dropoff_lat``), from which distances are computed.
     """
     parsed = requests.request_extract(requests.intent_classify(texts), allow_dates=True)
     parsed = parsed.filter((F.col("intent") == "request") & (F.col("request_status") == "ok"))
     timed = requests.pickup_time(parsed, as_of).filter(F.col("pickup_ts").isNotNull())
+    if set(COORDINATES) <= set(timed.columns):
+        timed = requests.request_distances(timed)
     base = latest_model_root(spark, root)
     kinds = ("short_trip", "long_trip")
     duration = {kind: load_models(spark, base, "duration", kind) for kind in kinds}
     cost = {kind: load_models(spark, base, "cost", kind) for kind in kinds}
-    served = [kind for kind in kinds if duration[kind] and cost[kind]]
     holidays = us_holidays(as_of.year, as_of.year + 1)
-    return requests.batch_score(
-        timed, {k: duration[k] for k in served}, {k: cost[k] for k in served}, holidays
-    )
+    return requests.batch_score(timed, duration, cost, holidays)
 
 
 def main(argv: list[str] | None = None) -> None:

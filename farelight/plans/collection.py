@@ -1,4 +1,4 @@
-"""Collection: rows above the stored mark from a drop directory into landing files.
+"""Collection: rows above the stored mark from a drop directory into landing files of JSON lines.
 
     python -m farelight.plans.collection 2024-05-01 --drops DIR --landing DIR --marks DIR --checkpoint DIR
 """
@@ -31,7 +31,8 @@ def run(spark: SparkSession, threshold: str, drops: str, landing: str, marks: st
     raw = landing_stream(spark, drops, landing_schema())
     pickup = F.to_timestamp_ntz("tpep_pickup_datetime", F.lit(projection.DATETIME_FORMAT))
     today = as_of.strftime("%Y%m%d")
-    incremental_ingest(raw.withColumn("pickup_ts", pickup), "pickup_ts", f"{landing}/{today}", marks, checkpoint, until, today)
+    rows = raw.withColumn("pickup_ts", pickup)
+    incremental_ingest(rows, "pickup_ts", f"{landing}/{today}", marks, checkpoint, until, today, fmt="json")
 
 
 def main(argv: list[str] | None = None) -> None:

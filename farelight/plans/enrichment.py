@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from farelight.operators.enrich import incremental_enrich, stored_keys
 from farelight.session import build_session
 from farelight.sources import sinks
-from farelight.sources.tables import path_exists, table_scan
+from farelight.sources.tables import has_files, table_scan
 from farelight.sources.zones import zones_scan
 
+
 def run(
     spark: SparkSession, trips_path: str, zones_path: str, output: str, trip_type: str | None = None, dedupe_batch: bool = False
 ) -> int:
@@ -23,13 +24,11 @@ def run(
     trips = table_scan(spark, trips_path)
     if trip_type:
         trips = trips.filter(F.col("trip_type") == trip_type)
-    existing, before = None, 0
-    if path_exists(spark, output):
-        stored = table_scan(spark, output)
-        existing, before = stored_keys(stored, trips), stored.count()
+    existing = None
+    if has_files(spark, output):
+        existing = stored_keys(table_scan(spark, output), trips)
     rows = incremental_enrich(trips, existing, zones_scan(spark, zones_path), dedupe_batch=dedupe_batch)
-    sinks.partitioned_append(rows, output)
-    return spark.read.schema(rows.schema).parquet(output).count() - before
+    return sinks.partitioned_append(rows, output)
 
 
 def main(argv: list[str] | None = None) -> None:

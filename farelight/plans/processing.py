@@ -70,9 +70,13 @@ def store_status(spark: SparkSession, status_path: str, folder: str, run: dict |
 
 
 def run(
-    spark: SparkSession, landing: str, output: str, status: str, as_of: date, multi_line: bool = True
+    spark: SparkSession, landing: str, output: str, status: str, as_of: date, multi_line: bool = False
 ) -> DataFrame | None:
-    """Process the newest landing folder unless it was done; return the reject audit."""
+    """Process the newest landing folder unless it was done; return the reject audit.
+
+    Landing files hold a document per line, as collection writes them; with ``multi_line`` one array each, which
+    cannot be split over tasks.
+    """
     files = snapshots.list_files(spark, landing, "*.json")
     newest = snapshots.latest_dated_folder(files, landing).first()["folder_name"]
     if newest is None:
@@ -103,10 +107,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--output", required=True)
     parser.add_argument("--status", required=True)
     parser.add_argument("--as-of", type=date.fromisoformat, default=date.today())
-    parser.add_argument("--lines", action="store_true", help="landing files hold one document per line")
+    parser.add_argument("--arrays", action="store_true", help="landing files hold one array each, not one document per line")
     args = parser.parse_args(argv)
     spark = build_session("trip-processing")
-    audit = run(spark, args.landing, args.output, args.status, args.as_of, not args.lines)
+    audit = run(spark, args.landing, args.output, args.status, args.as_of, args.arrays)
     if audit is None:
         print("nothing to process")
     else:

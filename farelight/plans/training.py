@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -43,8 +44,13 @@ def run(
     train_fraction: float = 0.2,
     params: dict | None = None,
     folds: int = 0,
+    tuning: bool = False,
 ) -> DataFrame:
-    """Fit on all training rows, evaluate per chunk, store model and scores; return the scores."""
+    """Fit on all training rows, evaluate per chunk, store model and scores; return the scores.
+
+    With ``tuning`` a regressor that has hyper-parameters is fitted again with grown ones, as often as patience ran out
+    over the chunks of the first fit; the model with the lowest error on all test rows is stored and scored.
+    """
     spec = SPECS[target]
     if regressor not in models.REGRESSORS:
         raise ValueError(f"{regressor} is not one of {', '.join(models.REGRESSORS)}")
@@ -54,6 +60,11 @@ def run(
     if train.isEmpty() or test.isEmpty():
         raise ValueError("train or test rows are empty")
     model = models.fit_model(train, spec, regressor, params)
+    if tuning and regressor != "linear_regressor":
+        first = materialize(models.holdout_evaluate(model, test, spec, ("chunk_id",)).select("chunk_id", "rmse"), "first_fit")
+        steps = sequence.growth_steps(first, wrap=models.PATIENCE).agg(F.max("growth_step")).first()[0]
+        model, tried = tune(train, test, spec, regressor, params or models.start_params(regressor), steps)
+        tried.write.mode("overwrite").json(f"{output}/{target}/{trip_type}/metadata/{regressor}_tuning")
     model_path = f"{output}/{target}/{trip_type}/models/{regressor}"
     model.write().overwrite().save(model_path)
     # One row per chunk from here on: the history is computed without predicting again.
@@ -75,19 +86,22 @@ def run(
     return history
 
 
-def tune_forest(
-    spark: SparkSession, train: DataFrame, test: DataFrame, spec: models.ModelSpec, params: dict, steps: int
+def tune(
+    train: DataFrame, test: DataFrame, spec: models.ModelSpec, regressor: str, params: dict, steps: int
 ) -> tuple[PipelineModel, DataFrame]:
-    """Fit the grown parameter series and keep the model with the lowest test error."""
+    """Fit the grown parameter series and keep the model with the lowest test error.
+
+    The rows name the parameters each model was fitted with, its error, and which one was kept.
+    """
     best, rows = None, []
     for step, entry in enumerate(models.hyperparameter_growth(params, steps)):
-        model = models.fit_model(train, spec, "randomforest_regressor", entry)
-        metrics = models.holdout_evaluate(model, test, spec).first()
-        rows.append((step, int(entry["n_estimators"]), int(entry["max_depth"]), float(entry["max_samples"]), metrics["rmse"]))
-        if best is None or metrics["rmse"] < best[0]:
-            best = (metrics["rmse"], model)
-    schema = "step int, n_estimators int, max_depth int, max_samples double, rmse double"
-    return best[1], spark.createDataFrame(rows, schema)
+        model = models.fit_model(train, spec, regressor, entry)
+        rmse = models.holdout_evaluate(model, test, spec).first()["rmse"]
+        rows.append((step, json.dumps(entry), rmse))
+        if best is None or rmse < best[0]:
+            best = (rmse, model, step)
+    rows = [(*row, row[0] == best[2]) for row in rows]
+    return best[1], train.sparkSession.createDataFrame(rows, "step int, params string, rmse double, kept boolean")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -100,11 +114,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--chunk-size", type=int, default=500_000)
     parser.add_argument("--train-fraction", type=float, default=0.2)
     parser.add_argument("--folds", type=int, default=0)
+    parser.add_argument("--tuning", action="store_true")
     args = parser.parse_args(argv)
     spark = build_session("trip-training")
     run(
         spark, args.table, args.target, args.trip_type, args.regressor, args.models,
-        args.chunk_size, args.train_fraction, folds=args.folds,
+        args.chunk_size, args.train_fraction, folds=args.folds, tuning=args.tuning,
     ).orderBy("chunk_id").show(100, False)
 
 

@@ -33,6 +33,7 @@ def landing_scan(
     path: str | list[str],
     columns: tuple[str, ...] = LANDING_COLUMNS,
     multi_line: bool = True,
+    glob: str = "*.json",
 ) -> DataFrame:
     """All landing files in one scan; the narrow schema prunes the other fields.
 
@@ -43,7 +44,7 @@ def landing_scan(
     return (
         spark.read.schema(landing_schema(columns))
         .option("multiLine", multi_line)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", glob)
         .json(path)
         .select(*columns, F.col("_metadata.file_name").alias("batch_id"))
     )

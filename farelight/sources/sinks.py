@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from farelight.sources.tables import PARTITION_COLUMNS
@@ -20,15 +20,20 @@ def _by_partition(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def partitioned_append(df: DataFrame, path: str, columns: tuple[str, ...] = PARTITION_COLUMNS) -> None:
+def partitioned_append(df: DataFrame, path: str, columns: tuple[str, ...] = PARTITION_COLUMNS) -> int:
+    """Append the rows and return their number, which the write itself counts."""
+    written = Observation()
+    # Above the exchange: an exchange of no rows is cut out of the plan with all that is below it.
     (
         _by_partition(df, columns)
+        .observe(written, F.count(F.lit(1)).alias("n"))
         .write.mode("append")
         .option("compression", "zstd")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy(*columns)
         .parquet(path)
     )
+    return written.get["n"]
 
 
 def rerun_overwrite(df: DataFrame, path: str, columns: tuple[str, ...] = PARTITION_COLUMNS) -> None:
@@ -51,6 +56,7 @@ def overwrite_months(df: DataFrame, path: str, columns: tuple[str, ...] = PARTIT
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
+        .option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy(*columns)
         .parquet(path)
     )
@@ -60,13 +66,14 @@ def ndjson_sink(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
-def json_array_sink(df: DataFrame, path: str, page: Column, mode: str = "error") -> None:
-    """JSON array documents, one per page and line.
+def json_array_sink(df: DataFrame, path: str, page: Column, mode: str = "error", one_per_file: bool = False) -> None:
+    """JSON array documents, one per page and line, or one per file.
 
     ``page`` bounds a document: it has to come from a row index divided by a page size.
     """
     documents = df.groupBy(page.alias("page")).agg(F.collect_list(F.struct(*df.columns)).alias("rows"))
-    documents.select(F.to_json("rows", {"ignoreNullFields": "false"}).alias("value")).write.mode(mode).text(path)
+    lines = documents.select(F.to_json("rows", {"ignoreNullFields": "false"}).alias("value"))
+    lines.write.mode(mode).option("maxRecordsPerFile", 1 if one_per_file else 0).text(path)
 
 
 def csv_sink(df: DataFrame, path: str, mode: str = "error") -> None:

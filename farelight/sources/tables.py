@@ -46,6 +46,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def has_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> bool:
+    """Whether a table folder has a file of rows; a first append without rows leaves a folder that has none."""
+    if not path_exists(spark, path):
+        return False
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(hadoop_path, True)
+    while found.hasNext():
+        if found.next().getPath().getName().endswith(suffix):
+            return True
+    return False
+
+
 def table_scan(spark: SparkSession, path: str) -> DataFrame:
     """The whole table; months stay text (``yyyyMM``) through the cast."""
     df = spark.read.parquet(path)

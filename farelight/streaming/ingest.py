@@ -39,9 +39,12 @@ def incremental_ingest(
     threshold: datetime,
     execution_date: str,
     start_mark: datetime | None = None,
+    fmt: str = "parquet",
 ) -> None:
     """Append the rows above the mark the run started with; advance the mark per batch.
 
+    ``fmt`` is the format of the rows: JSON lines (``json``) are what trip processing reads.
+
     Runs over what is there (``availableNow``) and returns. Rows at or below the starting
     mark are not taken, late ones among them, as the pull loop never asks for them.
     """
@@ -54,7 +57,7 @@ def incremental_ingest(
             newest = rows.agg(F.max(ts).alias("max_date")).first()["max_date"]
             if newest is None:
                 return
-            rows.write.mode("overwrite").parquet(f"{target}/ingest={number}")
+            rows.write.mode("overwrite").format(fmt).save(f"{target}/ingest={number}")
             earlier = checkpoint_scan(batch.sparkSession, marks, INGEST_SCHEMA + ", ingest int").filter(F.col("ingest") < number)
             if newest > high_water_mark(earlier).first()["mark"]:
                 mark = batch.sparkSession.createDataFrame([(newest,)], "max_date timestamp_ntz")

@@ -1,3 +1,4 @@
+import json
 import math
 
 import numpy as np
@@ -186,11 +187,31 @@ def test_training_job(spark, tmp_path, sf_dir):
         training.run(spark, table, "duration", "short_trip", "boosting", out)
 
 
-def test_tuned_forest_keeps_the_best(spark, sample):
+def test_tuning_keeps_the_best_and_reports_what_was_fitted(spark, sample):
     rows, _ = sample
+    train, test = rows.filter("i % 5 < 4"), rows.filter("i % 5 = 4")
     small = {**models.FOREST, "n_estimators": 4, "max_depth": 3, "max_samples": 0.7}
-    model, tried = training.tune_forest(spark, rows.filter("i % 5 < 4"), rows.filter("i % 5 = 4"), SPEC, small, 1)
-    assert tried.count() == 2
-    best = min(r["rmse"] for r in tried.collect())
-    assert models.holdout_evaluate(model, rows.filter("i % 5 = 4"), SPEC).first()["rmse"] == pytest.approx(best)
+    model, tried = training.tune(train, test, SPEC, "randomforest_regressor", small, 1)
+    tried = tried.orderBy("step").collect()
+    assert [json.loads(r["params"])["max_depth"] for r in tried] == [3, 3] and sum(r["kept"] for r in tried) == 1
+    best = min(r["rmse"] for r in tried)
+    assert models.holdout_evaluate(model, test, SPEC).first()["rmse"] == pytest.approx(best)
     assert math.isfinite(best)
+    start = models.start_params("voting_regressor")
+    _, tried = training.tune(train, test, SPEC, "voting_regressor", start, 2)
+    grown = [json.loads(r["params"])["ridge"] for r in tried.orderBy("step").collect()]
+    assert [g["max_iter"] for g in grown] == [2000, 2300, 2645] and grown[1]["alpha"] == pytest.approx(0.115)
+
+
+def test_depth_stays_at_what_can_be_fitted():
+    series = models.hyperparameter_growth(models.FOREST, 4)
+    assert [p["max_depth"] for p in series] == [25, 28, 30, 30, 30]
+    with pytest.raises(ValueError):
+        models.random_forest("y", {**models.FOREST, "max_depth": 32})
+
+
+def test_score_by_chunk_keeps_rows_without_a_fit(spark):
+    rows = spark.createDataFrame([(1, 2.0), (2, 3.0)], "chunk_id bigint, x double")
+    fits = spark.createDataFrame([(1, 1.0, [2.0])], "chunk_id bigint, intercept double, coefficients array<double>")
+    scored = {r["chunk_id"]: r["prediction"] for r in models.score_by_chunk(rows, fits, ["x"]).collect()}
+    assert scored == {1: 5.0, 2: None}

@@ -14,14 +14,14 @@ def parse(spark, message, **options):
 
 
 def test_whole_request(spark):
-    row = parse(spark, "I would like to go from Brooklyn Museum, Brooklyn to Conservatory Garden, Central Park for tomorrow at 21:00")
-    assert (row["pickup_place"], row["dropoff_place"], row["day"], row["clock"]) == ("Brooklyn Museum", "Conservatory Garden", "tomorrow", "21:00")
+    row = parse(spark, "I would like to go from Lantern Museum, Northgate to Glass House, Long Meadow for tomorrow at 21:00")
+    assert (row["pickup_place"], row["dropoff_place"], row["day"], row["clock"]) == ("Lantern Museum", "Glass House", "tomorrow", "21:00")
     assert row["request_status"] == "ok"
 
 
 def test_upper_case_and_other_word(spark):
     assert parse(spark, "GO FROM A TO B FOR FRIDAY AT 08:30")["day"] == "friday"
-    row = parse(spark, "a trip from Brooklyn museum to Garden, Central Park on tomorrow at 21:00", word="on")
+    row = parse(spark, "a trip from Lantern museum to Garden, Long Meadow on tomorrow at 21:00", word="on")
     assert (row["dropoff_place"], row["day"], row["request_status"]) == ("Garden", "tomorrow", "ok")
 
 

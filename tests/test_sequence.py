@@ -33,6 +33,43 @@ def test_patience_as_logged(spark):
     assert grown == [0, 0, 0, 0, 0, 0, 0, 0, 1, 1]
 
 
+def loop_steps(rmses):
+    """Growth steps chunk by chunk: patience is looked at before the fit, and counts chunks since the last best."""
+    best, patience, step, steps = float("inf"), 0, 0, []
+    for number, rmse in enumerate(rmses):
+        if number and patience >= 5:
+            patience, step = 0, step + 1
+        if rmse < best:
+            best, patience = rmse, 0
+        patience += 1
+        steps.append(step)
+    return steps
+
+
+def test_growth_when_a_chunk_improves_as_patience_runs_out(spark):
+    rmses = [10, 11, 11, 11, 11, 9, 12, 12]
+    grown = [r["growth_step"] for r in sequence.growth_steps(history(spark, rmses)).orderBy("chunk_id").collect()]
+    assert grown == [0, 0, 0, 0, 0, 1, 1, 1] == loop_steps(rmses)
+
+
+def test_growth_follows_the_loop(spark):
+    random.seed(3)
+    for _ in range(4):
+        level, rmses = 100.0, []
+        for _ in range(40):
+            improves = not rmses or random.random() < 0.15
+            level = level - 1 if improves else level
+            rmses.append(level if improves else level + 5)
+        grown = [r["growth_step"] for r in sequence.growth_steps(history(spark, rmses)).orderBy("chunk_id").collect()]
+        assert grown == loop_steps(rmses)
+
+
+def test_shuffle_blocks_follow_the_rows():
+    assert sequence.block_digits(0) == sequence.block_digits(10) == 1
+    for rows in (10**7, 10**8, 10**9, 10**12):
+        assert rows / 16 ** sequence.block_digits(rows) <= sequence.ROWS_PER_BLOCK
+
+
 def test_improvement_needs_a_strictly_lower_score(spark):
     rows = sequence.improvement_pct(history(spark, [10, 10, 8, 8, 9, 5])).orderBy("chunk_id").collect()
     assert [r["percentage_improvement"] for r in rows] == [0.0, 0.0, 20.0, 0.0, 0.0, 50.0]
