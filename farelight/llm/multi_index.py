@@ -46,9 +46,14 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1)
 
 
+def _scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that squares neither overflow nor vanish; cosines stay the same bit by bit."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
-    """Rows of length one; the largest component first becomes one, so that squares neither overflow nor vanish."""
-    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
+    """Rows of length one."""
+    rows = _scaled(rows)
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
@@ -135,7 +140,7 @@ def _rerank(sent, k: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            entry, rows, cell = batch.column(0).to_numpy(), _matrix(batch.column(1)), batch.column(2).to_numpy()
+            entry, rows, cell = batch.column(0).to_numpy(), _scaled(_matrix(batch.column(1))), batch.column(2).to_numpy()
             lengths = np.sqrt((rows * rows).sum(axis=1))
             score = np.full((len(ids), len(entry)), -np.inf)
             for c in np.unique(cell):
@@ -196,7 +201,7 @@ def nearest(
         if not block.num_rows:
             continue
         ids = block.column("id").to_numpy()
-        matrix = _matrix(block.column("vector").combine_chunks())
+        matrix = _scaled(_matrix(block.column("vector").combine_chunks()))
         visits = np.unpackbits(np.frombuffer(b"".join(block.column("visits").to_pylist()), np.uint8).reshape(len(ids), -1), axis=1)
         sent = spark.sparkContext.broadcast((ids, matrix, visits[:, : len(counts)].astype(bool)))
         part = batch_map(index, _rerank(sent, k), "query_id long, vec_id long, score double")

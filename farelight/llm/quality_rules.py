@@ -173,17 +173,20 @@ def _paths(node, terms=()) -> list[Rule]:
 
 
 def fit(rows: DataFrame, struct: str, label: str, trees: int = 16, depth: int = 3, penalty: float = 0.002) -> RuleEnsemble:
-    """Fit on ``rows``, a bounded sample. Without both labels the score is constant: their share, or 0.5."""
+    """Fit on ``rows``, a bounded sample. The score is constant, the share of label 1, without both labels or any split."""
     counts = rows.agg(F.count(label).alias("n"), F.sum(label).alias("ones")).first()
     n, ones = counts.n, float(counts.ones or 0)
-    if not n or ones in (0.0, float(n)):
-        share = (ones + 0.5) / (n + 1) if n else 0.5
-        return RuleEnsemble(float(np.log(share / (1 - share))), ())
+    share = (ones + 0.5) / (n + 1)
+    constant = RuleEnsemble(float(np.log(share / (1 - share))), ())
+    if ones in (0.0, float(n)):
+        return constant
     inputs = rows.select(F.col(label).cast("double").alias("label"), F.col(struct).alias("s")).select("label", "s", "s.*")
     vectors = VectorAssembler(inputCols=list(STATISTICS), outputCol="features").transform(inputs)
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, maxBins=64, minInstancesPerNode=5, subsamplingRate=0.8, seed=7)
     model = forest.fit(vectors.select("label", "features"))
     rules = list(dict.fromkeys(r for tree in model.trees for r in _paths(tree._call_java("rootNode"))))
+    if not rules:
+        return constant
     marked = materialize(
         inputs.select("label", *[rule.column("s").cast("double").alias(f"r{k}") for k, rule in enumerate(rules)]), "rules"
     )

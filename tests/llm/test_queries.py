@@ -1,0 +1,33 @@
+"""The registered queries with SQL against it, and that all are registered."""
+
+import sys
+from pathlib import Path
+
+import duckdb
+import pytest
+
+ROOT = Path(__file__).resolve().parent.parent.parent
+sys.path[:0] = [str(ROOT), str(ROOT / "tools")]
+
+import __spark_entry__  # noqa: E402
+from check import TABLES, bag  # noqa: E402
+
+from farelight.llm.queries import ORACLES, QUERIES  # noqa: E402
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query(spark, sf_dir, name):
+    db = duckdb.connect()
+    for table in TABLES:
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    df = QUERIES[name](spark, sf_dir)
+    found = db.execute(ORACLES[name])
+    columns = [d[0] for d in found.description]
+    assert sorted(columns) == sorted(df.columns)
+    assert bag(df.columns, [tuple(r) for r in df.collect()]) == bag(columns, found.fetchall())
+
+
+def test_all_are_registered():
+    names = set(__spark_entry__.queries())
+    assert set(QUERIES) | {"pipeline"} <= names
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
