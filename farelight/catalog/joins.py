@@ -66,9 +66,7 @@ def distinct_keys(spark, sf_dir):
     ("trips", "holidays"),
 )
 def holiday_membership(spark, sf_dir):
-    days = spark.createDataFrame([(d,) for d in views.HOLIDAYS], "day date")
-    rows = views.trips(spark, sf_dir).withColumn("day", F.to_date("tpep_pickup_datetime"))
-    return rows.join(F.broadcast(days), "day", "left_semi").select("trip_key")
+    return enrich.on_days(views.trips(spark, sf_dir), views.HOLIDAYS).select("trip_key")
 
 
 ENRICHED_COLUMNS = (

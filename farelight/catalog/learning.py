@@ -405,8 +405,7 @@ def prediction_cache(spark, sf_dir):
     )
 
 
-@query("stage_trips", "SELECT count(*) AS n_rows, count(DISTINCT trip_key) AS n_keys FROM trips", ("trips",))
+@query("stage_trips", "SELECT trip_key, count(*) AS n FROM trips GROUP BY trip_key", ("trips",))
 def stage_trips(spark, sf_dir):
     rows = spark.read.parquet(views.stage_trips(spark, sf_dir))
-    keys = rows.groupBy("trip_key").agg(F.count("*").alias("n"))
-    return keys.agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_keys"))
+    return rows.groupBy("trip_key").agg(F.count("*").alias("n"))

@@ -38,11 +38,9 @@ def nonpositive_duration(spark, sf_dir):
     return cleaning.nonpositive_duration(views.trips(spark, sf_dir)).select("trip_key")
 
 
-@query("min_duration", "SELECT count(*) AS n_rows, min(trip_duration) AS shortest, max(trip_duration) AS longest FROM timed", ("timed",))
+@query("min_duration", "SELECT trip_key, trip_duration FROM timed", ("timed",))
 def min_duration(spark, sf_dir):
-    return views.timed(spark, sf_dir).agg(
-        F.count("*").alias("n_rows"), F.min("trip_duration").alias("shortest"), F.max("trip_duration").alias("longest")
-    )
+    return views.timed(spark, sf_dir).select("trip_key", "trip_duration")
 
 
 @query("speed_band", "SELECT trip_key FROM measured WHERE average_speed > 1 AND average_speed < 200", ("measured",))
@@ -146,13 +144,13 @@ def no_digit_keep(spark, sf_dir):
 
 @query(
     "drop_null_zone",
-    "SELECT count(*) AS n_rows FROM clean WHERE pulocationid::INTEGER <= 263 AND dolocationid::INTEGER <= 263",
+    "SELECT trip_key FROM clean WHERE pulocationid::INTEGER <= 263 AND dolocationid::INTEGER <= 263",
     ("clean",),
 )
 def drop_null_zone(spark, sf_dir):
     dimension = views.zone_dimension(spark)
     both = enrich.enrich_dropoff_zone(enrich.enrich_pickup_zone(views.clean(spark, sf_dir), dimension), dimension)
-    return enrich.drop_null_zone(both).agg(F.count("*").alias("n_rows"))
+    return enrich.drop_null_zone(both).select("trip_key")
 
 
 @query(

@@ -269,10 +269,9 @@ def scores_scan(spark, sf_dir):
     return checkpoints.scores_scan(spark, path)
 
 
-@query("scores_sink", "SELECT count(*) AS n_chunks, min(rmse) AS best_rmse FROM scores", ("scores",))
+@query("scores_sink", "SELECT chunk_id, rmse, r2, mae, percentage_improvement, '/models/a' AS model_path FROM improvements", ("improvements",))
 def scores_sink(spark, sf_dir):
-    rows = scores_scan(spark, sf_dir)
-    return rows.agg(F.count("*").alias("n_chunks"), F.min("rmse").alias("best_rmse"))
+    return scores_scan(spark, sf_dir).select("chunk_id", "rmse", "r2", "mae", "percentage_improvement", "model_path")
 
 
 @query(
@@ -312,16 +311,20 @@ def dedup_on_key(spark, sf_dir):
 
 @query(
     "enrich_stream",
-    "SELECT trip_key, pu_zone, do_zone, round(haversine_centroid_distance, 6) AS km FROM enriched",
+    "SELECT trip_key, pu_zone, do_zone, round(haversine_centroid_distance, 6) AS km FROM enriched WHERE batch_id < 4 "
+    "UNION ALL SELECT trip_key, pu_zone, do_zone, round(haversine_centroid_distance, 6) FROM enriched "
+    "WHERE (trip_type, partition_dt, hashing_key) NOT IN (SELECT (trip_type, partition_dt, hashing_key) FROM enriched WHERE batch_id < 4)",
     ("enriched",),
 )
 def enrich_stream(spark, sf_dir):
+    """Half of the trips, then all of them from where the stream left off: what is stored is not stored again."""
     from farelight.streaming.dedup import enrich_stream as enrich
 
     root = work_path(spark, "enrich")
     rows = views.clean(spark, sf_dir)
-    rows.write.parquet(f"{root}/in")
-    stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
-    enrich(stream, views.zone_dimension(spark), f"{root}/out", f"{root}/checkpoint")
+    for part in (rows.filter(F.col("batch_id") < 4), rows):
+        part.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+        enrich(stream, views.zone_dimension(spark), f"{root}/out", f"{root}/checkpoint")
     stored = spark.read.parquet(f"{root}/out")
     return stored.select("trip_key", "pu_zone", "do_zone", F.round("haversine_centroid_distance", 6).alias("km"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,6 +64,11 @@ def enrich_trips(trips: DataFrame, zones: DataFrame) -> DataFrame:
     return both.withColumn("haversine_centroid_distance", distance).drop("_pu_lat", "_pu_lng", "_do_lat", "_do_lng")
 
 
+def on_days(trips: DataFrame, days: list[date], ts: str = "tpep_pickup_datetime") -> DataFrame:
+    """Trips that start on one of ``days``; the list is turned into one literal, no side is sent along."""
+    return trips.filter(F.to_date(ts).isin(days)) if days else trips.limit(0)
+
+
 def distinct_keys(df: DataFrame, keys: tuple[str, ...] = KEY_COLUMNS) -> DataFrame:
     return df.select(*keys).distinct()
 

@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from farelight.operators.enrich import incremental_enrich, stored_keys
-from farelight.session import build_session
+from farelight.session import build_session, release_kept
 from farelight.sources import sinks
 from farelight.sources.tables import has_files, table_scan
 from farelight.sources.zones import zones_scan
@@ -28,7 +28,9 @@ def run(
     if has_files(spark, output):
         existing = stored_keys(table_scan(spark, output), trips)
     rows = incremental_enrich(trips, existing, zones_scan(spark, zones_path), dedupe_batch=dedupe_batch)
-    return sinks.partitioned_append(rows, output)
+    appended = sinks.partitioned_append(rows, output)
+    release_kept()
+    return appended
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelight.operators import models, sequence, stats
-from farelight.session import build_session, materialize
+from farelight.session import build_session, materialize, release_kept
 from farelight.sources.checkpoints import scores_sink
 
 SPECS = {"duration": models.DURATION, "cost": models.COST}
@@ -83,6 +83,7 @@ def run(
     stats.residual_histogram(residual).write.mode("overwrite").json(
         f"{output}/{target}/{trip_type}/residuals/{regressor}_histogram"
     )
+    release_kept()
     return history
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 # A broadcast side has to fit comfortably next to everything else on each executor.
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
@@ -87,17 +88,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast when ``df`` is counted to be within ``max_rows``.
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Hint a broadcast when ``df`` is counted and measured to be within ``max_rows`` and ``max_bytes``.
 
-    The rows are kept for the join, so the check costs no second evaluation. Above the
-    bound the frame is stored and returned unhinted: Spark then shuffles both sides of the
+    This runs a job when it is called. The rows are kept for the join, so the check costs no second evaluation, and
+    their size is the one they are kept in. Above the
+    bounds the frame is stored and returned unhinted: Spark then shuffles both sides of the
     join, and adaptive execution splits partitions of a hot key. It only does so for sides
     that are read and shuffled as they are, hence the table and not the aggregation.
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if kept.count() <= max_rows:
+    small = kept.count() <= max_rows
+    if small and int(str(kept._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= max_bytes:
+        _KEPT.append(kept)
         return F.broadcast(kept)
     stored = materialize(kept, "side")
     kept.unpersist()
     return stored
+
+
+_KEPT: list[DataFrame] = []
+
+
+def release_kept() -> None:
+    """Release the small sides kept so far; a later use of one evaluates it again."""
+    while _KEPT:
+        _KEPT.pop().unpersist()
