@@ -136,10 +136,15 @@ class Mix:
         at = F.struct(rows[h].alias("h"), rows[key].isNotNull().alias("known"), rows[key].alias("_id"))
         return joined, [F.coalesce(at <= F.col(f"last{p}"), F.lit(False)) for p in range(MOST)]
 
-    def takes(self) -> DataFrame:
-        """Per row: id, ``size``, ``source_size``, ``target`` of its source, ``taken`` words."""
+    def takes(self, shard_words: int = SHARD_WORDS) -> DataFrame:
+        """Per row: id, ``size``, ``source_size``, ``target`` of its source, ``taken`` words: those in drawn blocks of all shards."""
         joined, within = self._bounded(self.sized, "_source", "h", "_id")
-        times = sum((w.cast("long") for w in within), F.lit(0).cast("long"))
+        shard_map, _ = self.shard_map(shard_words)
+        drawn = shard_map.groupBy("_source", "cell").agg(F.collect_set("pass").alias("drawn"))
+        drawn = hint_small(materialize(drawn, "drawn")).toDF("_to_source", "_to_cell", "_drawn")
+        cell = F.shiftright(self.sized["h"], 32 - self.bits)
+        joined = joined.join(drawn, self.sized["_source"].eqNullSafe(F.col("_to_source")) & (cell == F.col("_to_cell")), "left")
+        times = sum((F.coalesce(w & F.array_contains("_drawn", p), F.lit(False)).cast("long") for p, w in enumerate(within)), F.lit(0).cast("long"))
         return joined.select(
             F.col("_id").alias(self.id_column), "size", "source_size", "target", (F.col("size") * times).alias("taken")
         )
