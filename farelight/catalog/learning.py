@@ -193,7 +193,7 @@ def duration_linear_model(spark, sf_dir):
     parts += [F.struct(F.lit(c).alias("term"), F.col(c).cast("int").alias("level"), F.lit(1.0).alias("x")) for c in LEVELS]
     terms = scored.select(error.alias("e"), F.inline(F.array(*parts)))
     found = terms.groupBy("term", "level").agg(F.count("*").alias("n"), F.avg(F.col("e") * F.col("x")).alias("moment"))
-    return found.withColumn("moment", F.round("moment", 2) + 0.0)
+    return found.withColumn("moment", F.round("moment", 4) + 0.0)
 
 
 @query(
@@ -203,36 +203,40 @@ def duration_linear_model(spark, sf_dir):
     ("features",),
 )
 def cost_voting_model(spark, sf_dir):
-    """Three penalised fits on all sixteen features and their mean: how far each is from its optimality conditions."""
+    """Three penalised fits on all sixteen features and their mean: how far each is from its optimality conditions.
+
+    Conditions are on z-scores for scaled columns, as the penalties are.
+    """
     spec = models.COST
     train = _trimmed(spark, sf_dir, spec).filter("is_train")
-    model = models.fit_model(train, spec, "voting_regressor")
-    scored = model.transform(models.model_input(train, spec))
-    members = {"linear": "_p_linear", "ridge": "_p_ridge", "elastic_net": "_p_elastic"}
-    errors = [(F.col(spec.target) - F.col(p)).alias(name) for name, p in members.items()]
-    apart = F.abs(F.col("prediction") - (F.col("_p_linear") + F.col("_p_ridge") + F.col("_p_elastic")) / 3)
-    scored = materialize(scored.select(*errors, apart.alias("mean"), vector_to_array("features").alias("x")), "scored")
-    long = scored.select(*members, F.posexplode("x").alias("j", "x"))
-    slopes = {r["j"]: r for r in long.groupBy("j").agg(*[F.avg(F.col(m) * F.col("x")).alias(m) for m in members]).collect()}
-    spread = {r["j"]: 1 + (r["s"] or 0.0) for r in long.groupBy("j").agg(F.stddev_pop("x").alias("s")).collect()}
-    n, apart = scored.agg(F.count("*"), F.max("mean")).first()
-    weights = dict(zip(members, (stage.coefficients.toArray() for stage in model.stages[-4:-1]), strict=True))
+    fit = models.fit_linear(train, spec, "voting_regressor")
+    rows = models.model_input(train, spec)
+    errors = [(F.col(spec.target) - F.expr(fit.member_expression(m))).alias(m) for m in fit.members]
+    mean = sum((F.expr(fit.member_expression(m)) for m in fit.members), F.lit(0.0)) / len(fit.members)
+    apart = F.abs(F.expr(fit.expression()) - mean).alias("mean")
+    values = F.array(*[F.expr(c).cast("double") for c in fit.columns]).alias("x")
+    long = materialize(rows.select(*errors, apart, F.posexplode(values).alias("j", "x")), "long")
+    moments = long.groupBy("j").agg(
+        F.count("*").alias("n"), F.max("mean").alias("mean"), F.avg("x").alias("m"), F.stddev_pop("x").alias("s"),
+        *[F.avg(F.col(m) * F.col("x")).alias(m) for m in fit.members], *[F.avg(m).alias(f"rest_{m}") for m in fit.members],
+    ).collect()
     alpha, net = models.RIDGE["alpha"], models.ELASTIC_NET
-
-    def conditions(j):
-        yield "linear", abs(slopes[j]["linear"])
-        yield "ridge", abs(slopes[j]["ridge"] - alpha * weights["ridge"][j] / n)
-        w = weights["elastic_net"][j]
-        rest = slopes[j]["elastic_net"] - net["alpha"] * (1 - net["l1_ratio"]) * w
-        limit = net["alpha"] * net["l1_ratio"]
-        yield "elastic_net", abs(rest - math.copysign(limit, w)) if w else max(0.0, abs(rest) - limit)
-
-    worst = {"mean": float(apart)}
-    for j in slopes:
-        for part, value in conditions(j):
-            worst[part] = max(worst.get(part, 0.0), float(value) / spread[j])
-    rows = [(part, n, value) for part, value in worst.items()]
-    return spark.createDataFrame(rows, "part string, n long, violation double").withColumn("violation", F.round("violation", 2))
+    worst = dict.fromkeys(("mean", *fit.members), 0.0)
+    for r in moments:
+        scale = r["s"] if r["j"] < len(spec.scaled) and r["s"] else 1.0
+        worst["mean"] = max(worst["mean"], r["mean"])
+        for member in fit.members:
+            slope = (r[member] - r["m"] * r[f"rest_{member}"]) / scale
+            w = fit.members[member][1][r["j"]] * scale
+            if member == "ridge":
+                slope -= alpha * w / r["n"]
+            elif member == "elastic_net":
+                slope -= net["alpha"] * (1 - net["l1_ratio"]) * w
+                limit = net["alpha"] * net["l1_ratio"]
+                slope = slope - math.copysign(limit, w) if w else max(0.0, abs(slope) - limit)
+            worst[member] = max(worst[member], abs(slope), abs(r[f"rest_{member}"]))
+    found = [(part, moments[0]["n"], float(value)) for part, value in worst.items()]
+    return spark.createDataFrame(found, "part string, n long, violation double").withColumn("violation", F.round("violation", 4))
 
 
 @query(

@@ -167,17 +167,6 @@ def elastic_net(label: str, about: LabelStats, output: str = "prediction", featu
     )
 
 
-def voting_stages(label: str, about: LabelStats, params: dict | None = None, features: str = "features") -> list:
-    """Three linear models and the mean of their predictions, as stages of one pipeline."""
-    params = params or {"ridge": RIDGE, "elastic_net": ELASTIC_NET}
-    return [
-        linear_regression(label, "_p_linear", features),
-        ridge(label, about, "_p_ridge", features, params["ridge"]),
-        elastic_net(label, about, "_p_elastic", features, params["elastic_net"]),
-        SQLTransformer(statement="SELECT *, (_p_linear + _p_ridge + _p_elastic) / 3 AS prediction FROM __THIS__"),
-    ]
-
-
 def random_forest(label: str, params: dict = FOREST, features: str = "features") -> RandomForestRegressor:
     """Five rows per leaf already imply the three rows a split needs. MLlib has no trees deeper than ``DEEPEST``."""
     if int(params["max_depth"]) > DEEPEST:
@@ -190,15 +179,8 @@ def random_forest(label: str, params: dict = FOREST, features: str = "features")
     )
 
 
-def build_pipeline(train: DataFrame, spec: ModelSpec, regressor: str, params: dict | None = None) -> Pipeline:
-    if regressor not in REGRESSORS:
-        raise ValueError(f"{regressor} is not one of {', '.join(REGRESSORS)}")
-    if regressor == "randomforest_regressor":
-        return Pipeline(stages=[*forest_stages(spec), random_forest(spec.target, params or FOREST)])
-    stages = linear_stages(train, spec)
-    if regressor == "linear_regressor":
-        return Pipeline(stages=[*stages, linear_regression(spec.target)])
-    return Pipeline(stages=[*stages, *voting_stages(spec.target, label_stats(train, spec.target), params)])
+def build_pipeline(spec: ModelSpec, params: dict | None = None) -> Pipeline:
+    return Pipeline(stages=[*forest_stages(spec), random_forest(spec.target, params or FOREST)])
 
 
 def model_input(df: DataFrame, spec: ModelSpec, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -209,14 +191,18 @@ def model_input(df: DataFrame, spec: ModelSpec, extra: tuple[str, ...] = ()) ->
 
 
 def fit_model(train: DataFrame, spec: ModelSpec, regressor: str, params: dict | None = None) -> PipelineModel:
-    """One distributed fit on all training rows, which are kept for the passes it makes."""
+    """One distributed fit on all training rows; linear models read them once, forests keep them for their passes."""
+    if regressor not in REGRESSORS:
+        raise ValueError(f"{regressor} is not one of {', '.join(REGRESSORS)}")
+    if regressor in LINEAR_MEMBERS:
+        return fit_linear(train, spec, regressor, params).model()
     context = train.sparkSession.sparkContext
-    if regressor == "randomforest_regressor" and context.getCheckpointDir() is None:
+    if context.getCheckpointDir() is None:
         # Deep forests cut the lineage of their node ids every few levels.
         context.setCheckpointDir(shared_root(train.sparkSession))
     rows = model_input(train, spec).persist()
     try:
-        return build_pipeline(rows, spec, regressor, params).fit(rows)
+        return build_pipeline(spec, params).fit(rows)
     finally:
         rows.unpersist()
 
@@ -238,17 +224,129 @@ def residuals(model: Transformer, test: DataFrame, spec: ModelSpec) -> DataFrame
 
 
 def cross_validate(df: DataFrame, spec: ModelSpec, regressor: str, fold: str = "fold", params: dict | None = None) -> DataFrame:
-    """(fold, n, rmse, r2, mae): one fit per fold on the rows of the others."""
-    rows = model_input(df, spec, (fold,)).persist()
-    folds = sorted(r[0] for r in rows.select(fold).distinct().collect())
+    """Metrics per fold of the model fitted on all other folds.
+
+    Linear models come from one pass over all rows; forests are fitted fold by fold.
+    """
+    rows = model_input(df, spec, (fold,))
+    if regressor in LINEAR_MEMBERS:
+        prediction = F.lit(None).cast("double")
+        for number, fitted in fold_linear_fits(rows, spec, regressor, fold, params).items():
+            prediction = F.when(F.col(fold) == number, F.expr(fitted.expression())).otherwise(prediction)
+        return stats.regression_metrics(rows.withColumn("prediction", prediction), spec.target, by=(fold,))
+    rows = materialize(rows, "folds")
     parts = None
-    for number in folds:
+    for number in sorted(row[0] for row in rows.select(fold).distinct().collect()):
         model = fit_model(rows.filter(F.col(fold) != number), spec, regressor, params)
         part = stats.regression_metrics(predict(model, rows.filter(F.col(fold) == number)), spec.target, by=(fold,))
         parts = part if parts is None else parts.unionByName(part)
     return parts
 
 
+# Linear models from one pass -------------------------------------------------------------
+
+# The members whose mean is the prediction.
+LINEAR_MEMBERS = {"linear_regressor": ("linear",), "voting_regressor": ("linear", "ridge", "elastic_net")}
+
+
+@dataclass(frozen=True)
+class LinearFit:
+    """Intercept and weights of each member over the design columns, in the units of the columns."""
+
+    names: tuple[str, ...]
+    columns: tuple[str, ...]
+    members: dict[str, tuple[float, np.ndarray]]
+
+    def member_expression(self, member: str) -> str:
+        intercept, weights = self.members[member]
+        terms = [f"{w!r}D * {c}" for w, c in zip(map(float, weights), self.columns, strict=True) if w]
+        return " + ".join([f"{float(intercept)!r}D", *terms])
+
+    def expression(self) -> str:
+        parts = [f"({self.member_expression(m)})" for m in self.members]
+        return f"({' + '.join(parts)}) / {len(parts)}D"
+
+    def model(self) -> PipelineModel:
+        """A model that can be stored: one expression, without a vector of features."""
+        return PipelineModel(stages=[SQLTransformer(statement=f"SELECT *, {self.expression()} AS prediction FROM __THIS__")])
+
+
+def design_columns(spec: ModelSpec, levels: dict[str, list[int]]) -> dict[str, str]:
+    """Name and SQL of each column: scaled numbers first, 0/1 columns for every level but the first, other numbers."""
+    dummies = {f"{c}_is_{v}": f"(CASE WHEN {c} = {v} THEN 1D ELSE 0D END)" for c, values in levels.items() for v in values[1:]}
+    return {**{c: c for c in spec.scaled}, **dummies, **{c: c for c in spec.passthrough}}
+
+
+def _elastic_weights(inner: np.ndarray, cross: np.ndarray, alpha: float, l1_ratio: float, sweeps: int) -> np.ndarray:
+    """Coordinate descent on the moments: half the mean square plus the penalty."""
+    weights = np.zeros(len(cross))
+    for _ in range(sweeps):
+        before = weights.copy()
+        for j in range(len(weights)):
+            rest = cross[j] - inner[j] @ weights + inner[j, j] * weights[j]
+            size = inner[j, j] + alpha * (1 - l1_ratio)
+            weights[j] = math.copysign(max(abs(rest) - alpha * l1_ratio, 0.0), rest) / size if size else 0.0
+        if np.abs(weights - before).max(initial=0.0) <= 1e-12 * (1 + np.abs(weights).max(initial=0.0)):
+            break
+    return weights
+
+
+def solve_linear(gram: np.ndarray, n_scaled: int, regressor: str, params: dict | None = None) -> dict[str, tuple[float, np.ndarray]]:
+    """Members from the moments of [1 X y]; the first ``n_scaled`` columns are penalised as z-scores."""
+    params = params or {"ridge": RIDGE, "elastic_net": ELASTIC_NET}
+    n, width = gram[0, 0], len(gram) - 2
+    mean = gram[0, 1:] / n
+    centred = gram[1:, 1:] - n * np.outer(mean, mean)
+    spread = np.ones(width)
+    spread[:n_scaled] = np.sqrt(np.maximum(np.diag(centred)[:n_scaled], 0) / n)
+    spread[spread == 0] = 1.0
+    inner, cross = centred[:-1, :-1] / np.outer(spread, spread), centred[:-1, -1] / spread
+    found = {}
+    for member in LINEAR_MEMBERS[regressor]:
+        if member == "elastic_net":
+            about = params["elastic_net"]
+            weights = _elastic_weights(inner / n, cross / n, about["alpha"], about["l1_ratio"], int(about["max_iter"]))
+        else:
+            alpha = params["ridge"]["alpha"] if member == "ridge" else 0.0
+            weights = np.linalg.lstsq(inner + alpha * np.eye(width), cross, rcond=1e-12)[0]
+        weights = weights / spread
+        found[member] = (float(mean[-1] - mean[:-1] @ weights), weights)
+    return found
+
+
+def _design_moments(rows: DataFrame, spec: ModelSpec, by: str) -> tuple[dict[str, str], dict[int, np.ndarray]]:
+    """The design columns and the moments of [1 X y] per group, from one pass over rows without nulls."""
+    rows = rows.dropna(subset=[spec.target, *spec.features])
+    columns = design_columns(spec, category_levels(rows, spec.categorical))
+    designed = rows.select(by, *[F.expr(sql).cast("double").alias(f"x{k}") for k, sql in enumerate(columns.values())], spec.target)
+    width = len(columns) + 2
+    grams: dict[int, np.ndarray] = {}
+    for row in _moments(designed, [f"x{k}" for k in range(len(columns))], spec.target, by).collect():
+        grams.setdefault(row[by], np.zeros(width * width))[row["position"]] = row["value"]
+    return columns, {key: gram.reshape(width, width) for key, gram in grams.items()}
+
+
+def fit_linear(train: DataFrame, spec: ModelSpec, regressor: str, params: dict | None = None) -> LinearFit:
+    rows = model_input(train, spec).withColumn("_all", F.lit(0).cast("bigint"))
+    columns, grams = _design_moments(rows, spec, "_all")
+    if not grams:
+        raise ValueError("no rows to fit on")
+    members = solve_linear(grams[0], len(spec.scaled), regressor, params)
+    return LinearFit(tuple(columns), tuple(columns.values()), members)
+
+
+def fold_linear_fits(rows: DataFrame, spec: ModelSpec, regressor: str, fold: str, params: dict | None = None) -> dict[int, LinearFit]:
+    """For every fold the fit of all others: the moments of all rows less its own."""
+    columns, grams = _design_moments(rows.withColumn(fold, F.col(fold).cast("bigint")), spec, fold)
+    total = sum(grams.values())
+    fits = {}
+    for number, gram in grams.items():
+        if (total - gram)[0, 0] > 0:
+            members = solve_linear(total - gram, len(spec.scaled), regressor, params)
+            fits[number] = LinearFit(tuple(columns), tuple(columns.values()), members)
+    return fits
+
+
 # One least-squares fit per chunk ---------------------------------------------------------
 
 

@@ -3,7 +3,7 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -106,6 +106,29 @@ def test_scalers(sample):
     assert got == pytest.approx((a - a.min()) / (a.max() - a.min()))
 
 
+def test_linear_models_store_and_load(spark, sample, tmp_path):
+    model, got, _ = fitted(sample, "voting_regressor")
+    model.write().save(str(tmp_path / "model"))
+    loaded = PipelineModel.load(str(tmp_path / "model"))
+    again = [r[0] for r in models.predict(loaded, sample[0]).orderBy("i").select("prediction").collect()]
+    assert again == got.tolist()
+    unseen = spark.createDataFrame([(0, 1.0, 2.0, 9, 0, 1.0), (1, None, 2.0, 1, 0, 1.0)], sample[0].schema)
+    first = models.predict(loaded, unseen).orderBy("i").collect()
+    assert first[0]["prediction"] is not None and first[1]["prediction"] is None
+
+
+@pytest.mark.parametrize("regressor", ["linear_regressor", "voting_regressor"])
+def test_folds_with_all_features(sample, regressor):
+    rows, _ = sample
+    folded = sequence.kfold_assign(rows, ["i"], 3)
+    found = {r["fold"]: r["rmse"] for r in models.cross_validate(folded, SPEC, regressor).collect()}
+    for number, rmse in found.items():
+        model = models.fit_model(folded.filter(F.col("fold") != number), SPEC, regressor)
+        own = models.holdout_evaluate(model, folded.filter(F.col("fold") == number), SPEC).first()["rmse"]
+        assert rmse == pytest.approx(own, abs=1e-9)
+    assert len(found) == 3
+
+
 def test_forest_beats_the_deviation(sample):
     rows, _ = sample
     model = models.fit_model(rows, SPEC, "randomforest_regressor", {**models.FOREST, "n_estimators": 10, "max_depth": 6, "max_samples": 0.8})
@@ -114,7 +137,7 @@ def test_forest_beats_the_deviation(sample):
 
 def test_unknown_regressor(sample):
     with pytest.raises(ValueError, match="is not one of"):
-        models.build_pipeline(sample[0], SPEC, "boosting")
+        models.fit_model(sample[0], SPEC, "boosting")
 
 
 def test_fit_per_chunk(sample):
