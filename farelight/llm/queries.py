@@ -11,7 +11,7 @@ from farelight.llm.language_id import op2_language_id
 from farelight.llm.license_scan import op4_license_scan
 from farelight.llm.mixing import OP3_SQL, op3_mixing_sources
 from farelight.llm.multi_index import op8_approximate_neighbours
-from farelight.llm.ngram_join import op1_ngram_jaccard_join
+from farelight.llm.ngram_join import OP1_SQL, op1_ngram_jaccard_join
 from farelight.llm.quality_rules import op10_quality_classifier
 from farelight.llm.secret_scan import op7_secret_scan
 from farelight.llm.sharding import op9_sharding
@@ -33,6 +33,7 @@ _ALL = (
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 ORACLES: dict[str, str] = {
+    "op1_ngram_jaccard_join": OP1_SQL,
     "op3_mixing_sources": OP3_SQL,
     "op5_url_filter": OP5_SQL,
     "op6_benchmark_decontamination": OP6_SQL,
