@@ -184,7 +184,7 @@ class Mix:
         return materialize(found.select("c._source", "cell", "pass", "shard"), "shard_map"), shards
 
     def rows(self, shard_words: int = SHARD_WORDS) -> DataFrame:
-        """The mix itself: rows of ``docs``, as often as they are taken, one partition per shard in shuffled order."""
+        """The mix itself: rows of ``docs``, as often as they are taken; each shard is whole in one partition, in shuffled order."""
         shard_map, shards = self.shard_map(shard_words)
         h, source = fresh(self.docs, "_mix_h"), fresh(self.docs, "_mix_source")
         rows = self.docs.withColumns({h: _order(self.id_column), source: F.col(self.source_column)})
