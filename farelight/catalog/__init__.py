@@ -11,6 +11,6 @@ from farelight.catalog import (  # noqa: F401
     summaries,
     texts,
 )
-from farelight.catalog.registry import ORACLES, QUERIES
+from farelight.catalog.registry import FITTED, ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES"]
+__all__ = ["FITTED", "ORACLES", "QUERIES"]

@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from farelight.catalog import views
-from farelight.catalog.registry import query
+from farelight.catalog.registry import fitted_query, query
 from farelight.operators import models, requests, sequence, stats
 from farelight.session import broadcast_if_small, materialize, work_path
 
@@ -345,32 +345,52 @@ def hyperparameter_growth(spark, sf_dir):
     ("enriched",),
 )
 def batch_score(spark, sf_dir):
-    """All trips as requests, with models for short trips only: duration models, then cost models fed with their result.
+    """All trips as requests, with models for short trips only, as the SQL states; ``batch_predictions`` serves both trip types.
 
     Dropoff, arrival clock and answer are checked against the predicted values.
     """
+    scored = _scored_requests(spark, sf_dir, ("short_trip",))
+    return scored.select("trip_key", "trip_type", "score_status", *_score_checks())
+
+
+@fitted_query("batch_predictions")
+def batch_predictions(spark, sf_dir):
+    """All trips as requests, each with the models of its trip type: what is predicted, and the checks of it."""
+    scored = _scored_requests(spark, sf_dir, ("short_trip", "long_trip"))
+    predicted = ("trip_duration", "dropoff_ts", "trip_cost", "eta", "answer")
+    return scored.select("trip_key", "trip_type", "score_status", *predicted, *_score_checks())
+
+
+def _scored_requests(spark, sf_dir, kinds):
+    """Trips as requests, scored by duration models and then cost models fed with their result; a type without trips has no models."""
     spec_columns = [*models.COST.features, "trip_cost", "trip_distance"]
     rows = views.enriched(spark, sf_dir).select("trip_key", "trip_type", "tpep_pickup_datetime", *spec_columns)
     rows = materialize(rows, "requests")
-    part = rows.filter("trip_type = 'short_trip'")
-    duration = {"short_trip": [models.fit_model(part, models.DURATION, "linear_regressor")]}
-    cost = {"short_trip": [models.fit_model(part, models.COST, "linear_regressor")]}
+    present = {r[0] for r in rows.select("trip_type").distinct().collect()}
+    duration, cost = {}, {}
+    for kind in (k for k in kinds if k in present):
+        part = rows.filter(F.col("trip_type") == kind)
+        duration[kind] = [models.fit_model(part, models.DURATION, "linear_regressor")]
+        cost[kind] = [models.fit_model(part, models.COST, "linear_regressor")]
     asked = rows.select(
         "trip_key", F.col("tpep_pickup_datetime").alias("pickup_ts"), "trip_distance", "haversine_centroid_distance"
     )
-    scored = requests.batch_score(asked, duration, cost, views.HOLIDAYS)
+    return requests.batch_score(asked, duration, cost, views.HOLIDAYS)
+
+
+def _score_checks():
+    """Whether dropoff, arrival clock and answer fit the predicted values, or are null where nothing is predicted."""
     ok = F.col("score_status") == "ok"
     start = F.unix_micros(F.col("pickup_ts").cast("timestamp"))
     late = F.unix_micros(F.col("dropoff_ts").cast("timestamp"))
     arrives = F.date_format(F.timestamp_add("MINUTE", F.col("trip_duration").cast("int"), F.date_trunc("minute", "pickup_ts")), "HH:mm")
     names_both = F.contains("answer", F.col("eta")) & F.contains("answer", F.round("trip_cost", 2).cast("string"))
     nothing = F.col("trip_duration").isNull() & F.col("eta").isNull() & F.col("answer").isNull()
-    return scored.select(
-        "trip_key", "trip_type", "score_status",
+    return [
         F.when(ok, F.abs(late - start - F.col("trip_duration") * 6e7) < 1.5).otherwise(nothing).alias("dropoff_fits"),
         F.when(ok, F.col("eta") == arrives).otherwise(nothing).alias("eta_fits"),
         F.when(ok, names_both).otherwise(nothing).alias("answer_fits"),
-    )
+    ]
 
 
 @query(

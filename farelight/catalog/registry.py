@@ -12,6 +12,9 @@ from farelight.session import prepare
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+#: Queries whose results SQL cannot state, as they are values of models with all features; tests hold them against brute force.
+FITTED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
 AS_OF = date(2026, 12, 31)
 HOLIDAY_YEARS = (1995, 2002)
 
@@ -203,3 +206,16 @@ def query(name: str, sql: str | None = None, reads: tuple[str, ...] = ()):
         return function
 
     return register
+
+
+def fitted_query(name: str):
+    """Register a Spark query that has no SQL."""
+
+    def register(function: Callable[[SparkSession, str], DataFrame]):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return function(prepare(spark), sf_dir)
+
+        FITTED[name] = run
+        return function
+
+    return register
