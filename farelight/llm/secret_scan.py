@@ -2,14 +2,16 @@
 
 A candidate is a run of at least ``WINDOW`` characters of keys and tokens. A window slides over it; the counts
 of its characters, and with them its entropy, are updated by one character in and one out. Each class of
-characters has its own threshold, as the entropy that chance gives depends on the alphabet. Candidates with a known
-harmless part are passed over.
+characters has its own threshold, as the entropy that chance gives depends on the alphabet. Windows that overlap a known
+harmless part are passed over, and so are those near a harmless word in the same piece of the candidate.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
+from functools import lru_cache
 from math import log2
 
 import numpy as np
@@ -30,16 +32,22 @@ KINDS = ("assign", "access", "hex", "entropy")
 WINDOW = 20
 THRESHOLDS = {"hex": 3.0, "mixed": 3.6, "letters": 4.15}
 
-#: Candidates with one of these parts, in lower case, are no secrets.
+#: Windows that overlap one of these parts, in lower case, are no secrets.
 ALLOWED = (
     "example", "placeholder", "changeme", "your_", "your-", "dummy", "sample", "xxxx", "0123456789", "1234567890",
     "abcdefgh", "====", "----", "____", "++++", "////",
 )
 
+#: Those that are words say the same of the windows up to ``WINDOW`` characters from them in their piece. Pieces end at these separators.
+ALLOWED_WORDS = ("example", "placeholder", "changeme", "dummy", "sample")
+SEPARATORS = "=/_-"
+_PIECE = re.compile(f"[^{re.escape(SEPARATORS)}]+")
+
 _HEX = np.zeros(256, dtype=bool)
 _HEX[[ord(c) for c in "0123456789abcdef"]] = True
 _TOKEN = np.zeros(256, dtype=bool)
 _TOKEN[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"]] = True
+_HEX_RUNS = (re.compile("[0-9a-f]+"), re.compile("[0-9A-F]+"))
 _WEIGHT = [0.0] + [n * log2(n) for n in range(1, WINDOW + 1)]
 
 
@@ -56,16 +64,67 @@ def character_class(text: str) -> str | None:
     return "mixed" if digits or inner else "letters"
 
 
-def entropy_span(text: str, window: int = WINDOW, thresholds=THRESHOLDS, allowed=ALLOWED) -> tuple[int, int] | None:
-    """From the start of the first window of high entropy to the end of the last, in a candidate; None without one."""
-    kind = character_class(text)
-    if kind is None or len(text) < window or any(a in text.lower() for a in allowed):
+@lru_cache(maxsize=8)
+def _parts(allowed: tuple[str, ...]) -> re.Pattern:
+    # A look ahead, as parts may overlap.
+    return re.compile("(?=(" + "|".join(map(re.escape, allowed)) + "))")
+
+
+def blocked_windows(text: str, window: int = WINDOW, allowed=ALLOWED) -> bytearray | None:
+    """Per start of a window, whether an allowed part rules it out; None if none does."""
+    low = text.lower()
+    if not any(a in low for a in allowed):
         return None
+    starts = len(text) - window + 1
+    out = bytearray(starts)
+    pieces = None
+    until = 0
+    for m in _parts(tuple(allowed)).finditer(low):
+        begin, end = m.start(1), m.end(1)
+        first, last = max(begin - window + 1, 0, until), min(end, starts)
+        if first < last:
+            out[first:last] = b"\1" * (last - first)
+            until = last
+        if m[1] in ALLOWED_WORDS:
+            if pieces is None:
+                pieces = [p.span() for p in _PIECE.finditer(low)]
+                edges = [p[0] for p in pieces]
+            low_end, high_end = pieces[bisect_right(edges, begin) - 1]
+            first, last = max(low_end, begin - 2 * window + 1), min(high_end - window + 1, end + window)
+            if first < last:
+                out[first:last] = b"\1" * (last - first)
+    return out
+
+
+def hex_windows(text: str, window: int = WINDOW) -> bytearray:
+    """Per start of a window, whether the window by itself is of class hex."""
+    out = bytearray(len(text) - window + 1)
+    for pattern in _HEX_RUNS:
+        for run in pattern.finditer(text):
+            for at in range(run.start(), run.end() - window + 1):
+                out[at] |= character_class(text[at : at + window]) == "hex"
+    return out
+
+
+def entropy_spans(text: str, window: int = WINDOW, thresholds=THRESHOLDS, allowed=ALLOWED) -> list[tuple[int, int]]:
+    """From the start of the first window of high entropy to the end of the last, in a candidate.
+
+    There is one such span on each side of windows that allowed parts rule out. A window needs the bits of the class of the
+    candidate or of its own class, if these are fewer: a name that is glued to a key does not hide it.
+    """
+    kind = character_class(text)
+    if kind is None or len(text) < window:
+        return []
+    blocked = blocked_windows(text, window, allowed)
     # The entropy is log2(window) - (sum of n log2 n over the counts) / window.
     most = (log2(window) - thresholds[kind]) * window + 1e-9
+    # Windows of a candidate of letters have letters only, so hex windows of mixed ones are all that need fewer bits.
+    hexed = hex_windows(text, window) if kind == "mixed" else None
+    most_hex = (log2(window) - min(thresholds["hex"], thresholds[kind])) * window + 1e-9
     weight = _WEIGHT if window <= WINDOW else [0.0] + [n * log2(n) for n in range(1, window + 1)]
     counts: dict[str, int] = {}
     total, first, last = 0.0, None, None
+    out = []
     for at, c in enumerate(text):
         if at >= window:
             old = text[at - window]
@@ -75,10 +134,23 @@ def entropy_span(text: str, window: int = WINDOW, thresholds=THRESHOLDS, allowed
         n = counts.get(c, 0)
         counts[c] = n + 1
         total += weight[n + 1] - weight[n]
-        if at >= window - 1 and total <= most:
-            first = at - window + 1 if first is None else first
+        begin = at - window + 1
+        if begin < 0:
+            continue
+        if blocked is not None and blocked[begin]:
+            if first is not None:
+                out.append((first, last))
+                first = None
+        elif total <= most or (hexed is not None and hexed[begin] and total <= most_hex):
+            first = begin if first is None else first
             last = at + 1
-    return None if first is None else (first, last)
+    return out if first is None else [*out, (first, last)]
+
+
+def entropy_span(text: str, window: int = WINDOW, thresholds=THRESHOLDS, allowed=ALLOWED) -> tuple[int, int] | None:
+    """From the start of the first to the end of the last of ``entropy_spans``; None without one."""
+    spans = entropy_spans(text, window, thresholds, allowed)
+    return (spans[0][0], spans[-1][1]) if spans else None
 
 
 def _runs(data: np.ndarray, offsets: np.ndarray, letters: np.ndarray, shortest: int):
@@ -123,13 +195,11 @@ def scan(texts: pa.Array):
                 spans.append((kind, a, b) if place is None else (kind, int(place[a]), int(place[b])))
             base = list(spans)
             for a, b in candidates.get(i, []):
-                span = entropy_span(part[a:b].decode("ascii"))
-                if span is None:
-                    continue
                 shift = a if place is None else int(place[a])
-                low_end, high_end = shift + span[0], shift + span[1]
-                if not any(s <= low_end and high_end <= e for _, s, e in base):
-                    spans.append(("entropy", low_end, high_end))
+                for span in entropy_spans(part[a:b].decode("ascii")):
+                    low_end, high_end = shift + span[0], shift + span[1]
+                    if not any(s <= low_end and high_end <= e for _, s, e in base):
+                        spans.append(("entropy", low_end, high_end))
             yield row + i, sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 
 

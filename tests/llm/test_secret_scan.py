@@ -58,6 +58,35 @@ def test_entropy_adds_and_the_allow_list_suppresses():
     assert entropy("token = 24be64439e3e49cf46b2d7c90f3602a3d0b907ff") == []
 
 
+def test_an_allowed_part_hides_only_what_it_touches():
+    key = "A1b2C3d4E5f6G7h8I9j0KLMN"
+    for before in ("/sample/pk_live_", "SAMPLE_KEY=ghp_", "your_", "a====", "EXAMPLE/"):
+        (found,) = entropy(before + key)
+        assert found[0] <= len(before) and found[1] == len(before + key), before
+    assert entropy(key + "/example")[0][0] == 0
+    # Beside a harmless word in the same piece there is no span; farther away there is.
+    assert entropy("sample" + key) == [] == entropy(key + "dummy")
+    assert entropy("sample" + key + "q8W7e6R5t4Y3u2I1o0P9") == [(26, 50)]
+    # Long runs hold short parts by chance: only the windows over them are lost.
+    random.seed(5)
+    run = "".join(random.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvw0123456789", k=4000))
+    assert entropy(run) == [(0, 4000)]
+    assert entropy(run[:1000] + "xXxx" + run[1000:2000] + "////" + run[2000:]) == [(0, 1000), (1004, 2004), (2008, 4008)]
+
+
+def test_a_glued_name_does_not_change_the_class():
+    random.seed(6)
+    for alphabet in ("0123456789ABCDEF", "0123456789abcdef"):
+        for _ in range(200):
+            key = "".join(random.choices(alphabet, k=24))
+            if secret_scan.character_class(key) != "hex" or secret_scan.blocked_windows(key):
+                continue
+            alone = secret_scan.entropy_span(key)
+            for before in ("id=", "Key_", "/v/"):
+                (found,) = secret_scan.entropy_spans(before + key) or [None]
+                assert alone is None or found[0] <= alone[0] + len(before) and found[1] >= alone[1] + len(before)
+
+
 def test_odd_rows(odd_docs, odd_rows, no_docs):
     found = secret_scan.scan_secrets(odd_docs).collect()
     assert len(found) == len(odd_rows)
