@@ -5,7 +5,8 @@ greedily into phrases, each the longest match with any place of the sample; a ph
 has no transition. Phrases, times the bits that point at a place of the sample, estimate the cross entropy of
 the text and the language; the language with the fewest of these bits wins.
 
-Texts are lowered, all that is not a letter becomes one blank. Parsing starts anew every ``BLOCK`` characters:
+Texts are lowered, all that is not a letter becomes one blank. Every letter of the samples has codes of its own: one
+if it is frequent, up to three in scripts of many signs, so that the tables stay narrow. Parsing starts anew every ``BLOCK`` characters:
 so all blocks of a batch, and all languages, advance together as array operations, and a very long
 text is only more blocks. Every character of a text is parsed.
 """
@@ -31,7 +32,7 @@ CHARS_PER_DOC = 600
 BLOCK = 256
 SLICE_CHARS = 1 << 20
 
-# Codes of characters: 0 is the blank, then letters by frequency, then all other letters, then padding.
+# Codes: 0 is the blank, then those of letters of the samples, then one for letters that no sample has, then padding.
 _WIDTH = 64
 _OTHER, _PAD = _WIDTH - 2, _WIDTH - 1
 UNKNOWN = "und"
@@ -53,16 +54,56 @@ def _codes(texts: list[str], alphabet: np.ndarray) -> tuple[np.ndarray, np.ndarr
     begin = np.concatenate([[0], np.cumsum(size)])
     starts = begin[:-1][size > 0]
     kept[starts] = codes[starts] != 0
-    total = np.concatenate([[0], np.cumsum(kept)])
-    return codes[kept], np.diff(total[begin])
+    if alphabet.dtype == np.uint8:
+        total = np.concatenate([[0], np.cumsum(kept)])
+        return codes[kept], np.diff(total[begin])
+    width = np.where(kept, 1 + (codes > 0xFF) + (codes > 0xFFFF), 0)
+    total = np.concatenate([[0], np.cumsum(width)])
+    out = np.empty(int(total[-1]), dtype=np.uint8)
+    for k in range(3):
+        wide = width > k
+        out[total[:-1][wide] + k] = (codes[wide] >> (8 * k)) & 0xFF
+    return out, np.diff(total[begin])
+
+
+def _code_lengths(counts: np.ndarray) -> tuple[int, int]:
+    """How many codes lead letters of two and of three codes, so that all letters (by falling counts) are shortest in all."""
+    codes = _OTHER - 1
+    below = np.concatenate([[0], np.cumsum(counts)])
+    best = None
+    for three in range(codes + 1):
+        for two in range(codes + 1 - three):
+            ones = codes - two - three
+            pairs = ones + two * codes
+            if pairs + three * codes**2 >= len(counts):
+                cost = 2 * below[-1] - below[min(ones, len(counts))] + below[-1] - below[min(pairs, len(counts))]
+                if best is None or cost < best[0]:
+                    best = (cost, two, three)
+    return best[1:]
 
 
 def letter_codes(sample: list[str]) -> np.ndarray:
-    """The code of each code point: blank for what is no letter, a code of its own for the most frequent letters."""
-    table = np.zeros(0x110000, dtype=np.uint8)
-    table[[p for p in range(len(table)) if chr(p).isalpha()]] = _OTHER
+    """The codes of each code point: blank for what is no letter, codes of its own for each letter of the sample.
+
+    Up to three codes are packed into one number, the first one lowest. No letter's codes begin with those of another.
+    """
     counts = Counter(c for c in chain.from_iterable(t.lower() for t in sample) if c.isalpha())
-    for code, (c, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[: _OTHER - 1], start=1):
+    letters = sorted(counts.items(), key=lambda x: (-x[1], x[0]))
+    codes = _OTHER - 1
+    two, three = _code_lengths(np.array([n for _, n in letters], dtype=np.int64))
+    table = np.zeros(0x110000, dtype=np.uint32 if two + three else np.uint8)
+    table[[p for p in range(len(table)) if chr(p).isalpha()]] = _OTHER
+    ones = codes - two - three
+    for at, (c, _) in enumerate(letters):
+        if at < ones:
+            code = at + 1
+        elif at < ones + two * codes:
+            lead, second = divmod(at - ones, codes)
+            code = (ones + 1 + lead) | (second + 1) << 8
+        else:
+            lead, rest = divmod(at - ones - two * codes, codes**2)
+            second, third = divmod(rest, codes)
+            code = (ones + two + 1 + lead) | (second + 1) << 8 | (third + 1) << 16
         table[ord(c)] = code
     return table
 
