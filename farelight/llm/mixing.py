@@ -82,7 +82,7 @@ def source_targets(totals: DataFrame, weights=WEIGHTS, share: float = SHARE, mos
 class Mix:
     """A mix of ``docs``: sizes, targets and positions, from which takes and shards are read.
 
-    Null and empty texts have size 0 and are taken without words. A null source is a source of its own. Rows that
+    Null and empty texts have size 0 and are taken without words, all of them from a source without any. A null source is a source of its own. Rows that
     share an id and a source, repeated rows and null ids among them, are taken together. Empty tables
     give empty results. Other columns, whatever their names, are kept and not looked at.
     """
@@ -116,9 +116,10 @@ class Mix:
         ).select("k._source", "k.h", "k._id", "k.size", (F.col("at") + F.col("inside")).alias("start"))
         targets = hint_small(self.targets)
         joined = placed.alias("p").join(targets.alias("t"), F.col("p._source").eqNullSafe(F.col("t._source")))
-        # A document is in a pass when the middle of its words lies before the target.
+        # A document is in a pass when the middle of its words lies before the target; without words also at the target, in the first pass.
+        at_target = (F.col("size") == 0) & (F.col("start") == F.col("target"))
         last = [
-            F.max(F.when(F.col("start") + F.col("source_size") * p + F.col("size") / 2 < F.col("target"),
+            F.max(F.when((F.col("start") + F.col("source_size") * p + F.col("size") / 2 < F.col("target")) | (at_target & F.lit(p == 0)),
                          F.struct("h", F.col("_id").isNotNull().alias("known"), "_id"))).alias(f"last{p}")
             for p in range(MOST)
         ]

@@ -72,6 +72,27 @@ def test_rows_are_those_taken(spark, sf_dir):
     assert [r["doc_id"] for r in rows.collect()] == again
 
 
+def test_rows_without_words_are_taken(spark):
+    blank = [(i, [None, "", " \t"][i % 3], ["b", None][i % 2]) for i in range(20)]
+    rows = [*blank, *[(i, "some words here" if i % 3 else "", "a") for i in range(100, 160)]]
+    for part in (rows, blank):
+        mix = mixing.Mix(spark.createDataFrame(part, "doc_id long, text string, source string"))
+        found = [r["doc_id"] for r in mix.rows(shard_words=20).collect()]
+        assert sorted(i for i in found if i < 100) == list(range(20))
+    # Rows of a source with words, by the rule itself.
+    docs = [(i, "w " * (i % 4), s) for i, s in enumerate("ab" * 60)]
+    mix = mixing.Mix(spark.createDataFrame(docs, "doc_id long, text string, source string"))
+    found = [r["doc_id"] for r in mix.rows().collect()]
+    targets = {r["_source"]: (r["source_size"], r["target"]) for r in mix.targets.collect()}
+    for source, (total, target) in targets.items():
+        own = sorted((int(hashlib.md5(f"{mixing.SEED}-{i}".encode()).hexdigest()[:8], 16), i, i % 4) for i, _, s in docs if s == source)
+        start = 0
+        for _, i, n in own:
+            times = sum(start + total * p + n / 2 < target or (p == 0 and n == 0 and start == target) for p in range(2))
+            assert found.count(i) == times, (source, i)
+            start += n
+
+
 def test_quotas_add_up_and_are_drawn_fairly():
     blocks = np.array([400, 3, 0, 77, 120])
     for shards in (1, 2, 5, 16):
