@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from farelight.llm.decontaminate import OP6_SQL, op6_benchmark_decontamination
+from farelight.llm.fill_middle import OP12_SQL, op12_fill_in_middle
 from farelight.llm.language_id import op2_language_id
 from farelight.llm.license_scan import op4_license_scan
 from farelight.llm.mixing import OP3_SQL, op3_mixing_sources
@@ -14,7 +15,9 @@ from farelight.llm.multi_index import op8_approximate_neighbours
 from farelight.llm.ngram_join import OP1_SQL, op1_ngram_jaccard_join
 from farelight.llm.quality_rules import op10_quality_classifier
 from farelight.llm.secret_scan import op7_secret_scan
+from farelight.llm.setsketch import OP11_SQL, op11_setsketch_dedup
 from farelight.llm.sharding import op9_sharding
+from farelight.llm.spelling import op13_spelling_variants
 from farelight.llm.url_filter import OP5_SQL, op5_url_filter
 
 _ALL = (
@@ -28,6 +31,9 @@ _ALL = (
     op8_approximate_neighbours,
     op9_sharding,
     op10_quality_classifier,
+    op11_setsketch_dedup,
+    op12_fill_in_middle,
+    op13_spelling_variants,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
@@ -37,4 +43,6 @@ ORACLES: dict[str, str] = {
     "op3_mixing_sources": OP3_SQL,
     "op5_url_filter": OP5_SQL,
     "op6_benchmark_decontamination": OP6_SQL,
+    "op11_setsketch_dedup": OP11_SQL,
+    "op12_fill_in_middle": OP12_SQL,
 }
