@@ -9,12 +9,12 @@ union are the larger ones of both, and two registers agree about as often as the
    A sketch thus costs about one hash per element and a fixed number of points per set, and is the same for any bound.
 2. Bands of ``ROWS`` registers are hashed; sets that share a band meet. At a similarity of 0.85 two sets share none of 42
    bands with a probability of 2e-9, at 0.8 of 3e-6.
-3. In every bucket all members meet the one of least hash. Pairs whose registers are too unlikely under the asked similarity
+3. In every bucket all members meet the one that shares most bands with others. Pairs whose registers are too unlikely under the asked similarity
    (by the joint likelihood of larger, smaller and equal registers, six deviations) are left; all others are confirmed on whole sets.
 4. Links make classes. Buckets that hold several classes are looked at again: members outside the largest class with members of
    other classes, so each pair of a bucket is confirmed, unlikely or known to be connected. Buckets beyond ``HOT`` members are dealt
    with in blocks by sketches; blocks with many likely pairs confirm them inside their task, most likely first, and skip what is
-   connected by then, so that at most one link per member leaves a block.
+   connected by then, so that at most one link per member leaves a block. A pair is looked at in the first band it shares.
 """
 
 from __future__ import annotations
@@ -43,6 +43,9 @@ HOT = 64
 BLOCK = 256
 LOOSE = 4
 
+#: A likely pair has equal registers of at least this share of the asked similarity: more than six deviations below what is expected.
+AGREE = 0.8
+
 #: Log-likelihood that a pair may lack under the asked similarity against its best one: six deviations.
 LACK = 18.0
 
@@ -122,7 +125,7 @@ def _log_likelihood(similarity, share_a, share_b, above, below, equal):
     return above * np.log(up) + below * np.log(down) + equal * np.log(np.maximum(1 - up - down, 1e-12))
 
 
-def joint_similarity(sizes_a, sizes_b, above, below, rounds: int = 40) -> tuple[np.ndarray, np.ndarray]:
+def joint_similarity(sizes_a, sizes_b, above, below, rounds: int = 25) -> tuple[np.ndarray, np.ndarray]:
     """The similarity of greatest likelihood of each pair and that log-likelihood.
 
     Likelihood is concave in the similarity, which can reach the ratio of the sizes at most.
@@ -231,14 +234,23 @@ def _block_pairs(table: pa.Table, percent: int) -> tuple[list[bytes], np.ndarray
     label = np.unique([x.hex() for x in table.column("label").to_pylist()], return_inverse=True)[1][rows]
     size = table.column("n").to_numpy()[rows]
     registers = _registers(table.column("sketch"))[rows]
+    band = table.column("band")[0].as_py()
     found: list[tuple] = []
-    for i in range(len(names) - 1):
-        other = np.flatnonzero((label[i + 1 :] != label[i])) + i + 1
-        other = other[100 * np.minimum(size[other], size[i]) >= percent * np.maximum(size[other], size[i])]
-        if len(other):
-            above, below = (registers[i] > registers[other]).sum(axis=1), (registers[i] < registers[other]).sum(axis=1)
-            kept, best = likely(np.full(len(other), size[i]), size[other], above, below, percent)
-            found.append((np.full(kept.sum(), i), other[kept], best[kept]))
+    for low in range(0, len(names), 64):
+        here = slice(low, low + 64)
+        agree = (registers[here, None, :] == registers[None, :, :]).sum(axis=2, dtype=np.int32)
+        i, j = np.nonzero((agree >= AGREE * percent / 100 * REGISTERS) & (label[here, None] != label[None, :]))
+        i = i + low
+        i, j = i[i < j], j[i < j]
+        i, j = (x[100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])] for x in (i, j))
+        for at in range(0, len(i), 1 << 14):
+            a, b = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
+            one, two = registers[a], registers[b]
+            # A pair that shares an earlier band is looked at there.
+            earlier = (one[:, : band * ROWS] == two[:, : band * ROWS]).reshape(len(a), band, ROWS).all(axis=2).any(axis=1)
+            a, b, one, two = (x[~earlier] for x in (a, b, one, two))
+            kept, best = likely(size[a], size[b], (one > two).sum(axis=1), (one < two).sum(axis=1), percent)
+            found.append((a[kept], b[kept], best[kept]))
     if not found:
         return names, np.zeros(0, int), np.zeros(0, int), np.zeros(0)
     return names, *(np.concatenate(x) for x in zip(*found, strict=True))
@@ -320,7 +332,7 @@ class _Corpus:
 
 
 def _bucket_blocks(hot: DataFrame, corpus: _Corpus) -> DataFrame:
-    """Links between classes inside of large buckets; ``hot`` has rows (key, node, label, minor).
+    """Links between classes inside of large buckets; ``hot`` has rows (key, band, node, label, minor).
 
     Blocks of nodes that are all in the largest class of their bucket do not meet.
     """
@@ -328,14 +340,16 @@ def _bucket_blocks(hot: DataFrame, corpus: _Corpus) -> DataFrame:
     counted = hot.groupBy(*side).agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("parts"))
     counted = hint_small(materialize(counted, "counted"))
     split = hot.join(counted, side).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
-    split = materialize(split.select("node", "label", F.xxhash64(*side, "part").alias("block")), "split")
+    split = materialize(split.select("node", "label", "band", F.xxhash64(*side, "part").alias("block")), "split")
     blocks = counted.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     blocks = materialize(blocks.select(*side, F.xxhash64(*side, "part").alias("block")), "blocks")
     few = blocks.filter("minor").select("key", F.col("block").alias("block_a"))
     meet = few.join(blocks, "key").filter("not minor or block_a <= block")
     meet = meet.select(F.xxhash64("block_a", "block").alias("pair"), F.explode(F.array_distinct(F.array("block_a", "block"))).alias("block"))
-    rows = materialize(split.join(hint_small(materialize(meet, "meet")), "block").select("pair", "node", "label"), "block_rows")
-    sketched = rows.join(corpus.nodes.select("node", "n", "sketch"), "node")
+    rows = materialize(split.join(hint_small(materialize(meet, "meet")), "block").select("pair", "node", "label", "band"), "block_rows")
+    # Blocks are few bytes and much work: they are dealt out to all tasks, not by their size.
+    tasks = int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sketched = rows.join(corpus.nodes.select("node", "n", "sketch"), "node").repartition(tasks, "pair")
     found = sketched.groupBy("pair").applyInArrow(_block_candidates(corpus.percent), "pair long, a binary, b binary")
     found = materialize(found, "block_candidates")
     links = corpus.confirm(materialize(found.filter("a is not null").select("a", "b").distinct(), "likely"))
@@ -344,7 +358,7 @@ def _bucket_blocks(hot: DataFrame, corpus: _Corpus) -> DataFrame:
         return links
     rows = materialize(rows.join(hint_small(dense), "pair"), "dense_rows")
     whole = rows.join(corpus.nodes.select("node", "n", "sketch"), "node").join(corpus.texts(rows.select("node")), "node")
-    inside = whole.groupBy("pair").applyInArrow(_block_links(corpus.width, corpus.percent), "a binary, b binary")
+    inside = whole.repartition(tasks, "pair").groupBy("pair").applyInArrow(_block_links(corpus.width, corpus.percent), "a binary, b binary")
     return links.union(materialize(inside, "block_links"))
 
 
@@ -374,20 +388,23 @@ def near_duplicates(
         "nodes",
     )
     corpus = _Corpus(docs, nodes, width, percent)
-    listed = nodes.select("node", F.explode("bands").alias("key"))
-    shared = listed.groupBy("key").agg(F.count("*").alias("k"), F.min("node").alias("one")).filter("k > 1")
+    listed = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    shared = listed.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1")
     shared = hint_small(materialize(shared, "shared"))
     held = materialize(listed.join(shared, "key"), "held")
-    stars = held.filter("node <> one").select(F.col("one").alias("a"), F.col("node").alias("b")).distinct()
-    links = corpus.links(stars)
+    spread = hint_small(materialize(held.groupBy("node").agg(F.sum("k").alias("spread")), "spread"))
+    ones = held.join(spread, "node").groupBy("key").agg(F.max(F.struct("spread", "node")).alias("one"))
+    ones = hint_small(materialize(ones.select("key", F.col("one.node").alias("one")), "ones"))
+    stars = held.join(ones, "key").filter("node <> one").select(F.least("one", "node").alias("a"), F.greatest("one", "node").alias("b"))
+    links = corpus.links(stars.distinct())
     labels = components(links)
 
-    classed = held.select("key", "node", "k").join(hint_small(labels), "node", "left")
-    classed = materialize(classed.select("key", "node", "k", F.coalesce("label", "node").alias("label")), "classed")
+    classed = held.join(hint_small(labels), "node", "left")
+    classed = materialize(classed.select("key", "band", "node", "k", F.coalesce("label", "node").alias("label")), "classed")
     largest = classed.groupBy("key", "label").agg(F.count("*").alias("size"))
     largest = largest.groupBy("key").agg(F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("classes"))
     largest = hint_small(materialize(largest.filter("classes > 1").select("key", F.col("top.label").alias("top")), "largest"))
-    mixed = classed.join(largest, "key").select("key", "node", "label", "k", (F.col("label") != F.col("top")).alias("minor"))
+    mixed = classed.join(largest, "key").select("key", "band", "node", "label", "k", (F.col("label") != F.col("top")).alias("minor"))
     mixed = materialize(mixed, "mixed")
     few = mixed.filter(f"k <= {HOT}")
     met = few.filter("minor").select("key", F.col("node").alias("a"), F.col("label").alias("label_a")).join(
