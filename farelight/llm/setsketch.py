@@ -39,9 +39,9 @@ HIGHEST = 2**16 - 2
 ELEMENTS = 1 << 18
 
 #: Members of a bucket beyond which pairs are made in blocks, members of a block, and pairs per member that leave a block unconfirmed.
-HOT = 64
+HOT = 16
 BLOCK = 256
-LOOSE = 4
+LOOSE = 1
 
 #: A likely pair has equal registers of at least this share of the asked similarity: more than six deviations below what is expected.
 AGREE = 0.8
