@@ -107,7 +107,7 @@ class ChunkedText:
     """A text as its chunks' summaries."""
 
     def __init__(self, text: bytes, ends: list[int], cache: ChunkCache):
-        self.text, self.ends, starts = text, ends, [0, *ends[:-1]]
+        self.text, self.ends, starts = text, ends, [0, *ends][:-1]
         found = [cache.summary(text[s:e]) for s, e in zip(starts, ends, strict=True)]
         self.lines = list(accumulate(f[0] for f in found))
         self.points = list(accumulate(f[1] for f in found))
