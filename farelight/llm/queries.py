@@ -10,7 +10,7 @@ from farelight.llm.decontaminate import OP6_SQL, op6_benchmark_decontamination
 from farelight.llm.fill_middle import OP12_SQL, op12_fill_in_middle
 from farelight.llm.language_id import op2_language_id
 from farelight.llm.license_scan import op4_license_scan
-from farelight.llm.mixing import OP3_SQL, op3_mixing_sources
+from farelight.llm.mixing import OP3_SQL, mixing_shards, op3_mixing_sources
 from farelight.llm.multi_index import op8_approximate_neighbours
 from farelight.llm.ngram_join import OP1_SQL, op1_ngram_jaccard_join
 from farelight.llm.quality_rules import op10_quality_classifier
@@ -34,6 +34,7 @@ _ALL = (
     op11_setsketch_dedup,
     op12_fill_in_middle,
     op13_spelling_variants,
+    mixing_shards,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}

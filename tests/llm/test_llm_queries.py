@@ -30,4 +30,4 @@ def test_query(spark, sf_dir, name):
 def test_all_are_registered():
     names = set(__spark_entry__.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 14))

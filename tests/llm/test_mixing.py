@@ -61,14 +61,14 @@ def test_odd_rows(odd_docs, odd_rows, no_docs):
 
 def test_rows_are_those_taken(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    mix = mixing.Mix(docs)
+    mix = mixing.Mix(docs, shard_words=4000)
     times = {r["doc_id"]: r["taken"] // r["size"] if r["size"] else None for r in mix.takes().collect()}
-    rows = mix.rows(shard_words=4000)
+    rows = mix.rows()
     found = {}
     for r in rows.collect():
         found[r["doc_id"]] = found.get(r["doc_id"], 0) + 1
     assert all(found.get(i, 0) == n for i, n in times.items() if n is not None)
-    again = [r["doc_id"] for r in mixing.Mix(docs.repartition(5)).rows(shard_words=4000).collect()]
+    again = [r["doc_id"] for r in mixing.Mix(docs.repartition(5), shard_words=4000).rows().collect()]
     assert [r["doc_id"] for r in rows.collect()] == again
 
 
@@ -76,8 +76,8 @@ def test_rows_without_words_are_taken(spark):
     blank = [(i, [None, "", " \t"][i % 3], ["b", None][i % 2]) for i in range(20)]
     rows = [*blank, *[(i, "some words here" if i % 3 else "", "a") for i in range(100, 160)]]
     for part in (rows, blank):
-        mix = mixing.Mix(spark.createDataFrame(part, "doc_id long, text string, source string"))
-        found = [r["doc_id"] for r in mix.rows(shard_words=20).collect()]
+        mix = mixing.Mix(spark.createDataFrame(part, "doc_id long, text string, source string"), shard_words=20)
+        found = [r["doc_id"] for r in mix.rows().collect()]
         assert sorted(i for i in found if i < 100) == list(range(20))
     # Rows of a source with words, by the rule itself.
     docs = [(i, "w " * (i % 4), s) for i, s in enumerate("ab" * 60)]
@@ -104,6 +104,70 @@ def test_quotas_add_up_and_are_drawn_fairly():
     assert drawn == pytest.approx(100, abs=2)
 
 
+def test_runs_are_the_quotas(spark):
+    """Subtrees split by tasks give what one loop gives, and runs of a source follow each other."""
+    blocks = np.array([4000, 3, 0, 77, 1200])
+    for shards in (1, 3, 150):
+        quotas = mixing.split_quotas(blocks, shards, 5)
+        runs = sorted(tuple(r) for r in mixing.split_runs(spark, blocks, shards, 5, subtrees=8).collect())
+        found = np.zeros_like(quotas)
+        ends = [0] * len(blocks)
+        for shard, source, low, high in runs:
+            found[shard, source - 1] = high - low
+            assert low == ends[source - 1]
+            ends[source - 1] = high
+        assert (found == quotas).all() and ends == blocks.tolist()
+    assert mixing.split_runs(spark, np.zeros(0, dtype=np.int64), 1).count() == 0
+
+
+@pytest.mark.parametrize("cell_rows,span", [(mixing.CELL_ROWS, mixing.SPAN), (3, 7)])
+def test_shards_hold_their_quotas(spark, monkeypatch, cell_rows, span):
+    """Words of a source in a shard: those of its blocks, up to a document at each end of a block; seeds change the shards alone."""
+    monkeypatch.setattr(mixing, "CELL_ROWS", cell_rows)
+    monkeypatch.setattr(mixing, "SPAN", span)
+    rows = [(i, "w " * (i * 7 % 50), "abc"[i % 5 % 3]) for i in range(1500)] + [(None, "w w w", "a"), (9, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    held = {}
+    for seed in (1, 2):
+        mix = mixing.Mix(docs, shard_words=3000, seed=seed)
+        found = mix.places().collect()
+        owners = {(r["rank"], r["number"]): r["shard"] for r in mix.owners().collect()}
+        targets = {r["_source"]: r for r in mix.targets.collect()}
+        quotas = mixing.split_quotas(np.array([targets[s]["blocks"] for s in ("a", "b", "c", None)]), mix.shards, seed)
+        words = {}
+        for r in found:
+            assert owners[targets[r["source"]]["rank"], r["block"]] == r["shard"]
+            words[r["shard"], r["source"]] = words.get((r["shard"], r["source"]), 0) + r["size"]
+        for source, t in targets.items():
+            numbers = {b: s for (rank, b), s in owners.items() if rank == t["rank"]}
+            assert sorted(numbers) == list(range(t["blocks"]))
+            for shard in range(mix.shards):
+                own = [b for b, s in numbers.items() if s == shard]
+                assert len(own) == quotas[shard, t["rank"] - 1]
+                # The last block of a source may be cut short by the target.
+                want = sum(min(mix.block, max(0, t["target"] - b * mix.block)) for b in own)
+                assert abs(words.get((shard, source), 0) - want) <= 50 * max(1, len(own))
+        assert all(sorted(r["position"] for r in found if r["shard"] == s) == list(range(sum(r["shard"] == s for r in found))) for s in range(mix.shards))
+        held[seed] = sorted(((r["doc_id"] is None, r["doc_id"]), r["pass"], r["block"]) for r in found), {(r["doc_id"], r["pass"]): r["shard"] for r in found}
+    assert held[1][0] == held[2][0] and held[1][1] != held[2][1]
+
+
+def test_many_cells_do_not_change_the_takes(spark, monkeypatch, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    few = sorted(map(tuple, mixing.Mix(docs).takes().collect()))
+    monkeypatch.setattr(mixing, "CELL_ROWS", 2)
+    assert sorted(map(tuple, mixing.Mix(docs, shard_words=500).takes().collect())) == few
+
+
+def test_registered_shards(spark, sf_dir):
+    found = mixing.mixing_shards(spark, sf_dir).collect()
+    taken = {r["doc_id"]: (r["size"], r["taken"]) for r in mixing.op3_mixing_sources(spark, sf_dir).collect()}
+    words = {}
+    for r in found:
+        words[r["doc_id"]] = words.get(r["doc_id"], 0) + r["size"]
+    assert words == {i: t for i, (_, t) in taken.items() if i in words} and all(not t for i, (_, t) in taken.items() if i not in words)
+
+
 def test_taken_words_come_near_the_target(spark):
     takes = mixing.op3_mixing_sources(spark, "/root/testdata/sf0.01").toPandas()
     assert (takes.taken <= 2 * takes["size"]).all()
