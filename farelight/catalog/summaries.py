@@ -224,9 +224,14 @@ def residual_histogram(spark, sf_dir):
 
 @query(
     "residual_kde",
-    "SELECT round(x, 6) AS x, round(sum(exp(-0.5 * ((residual - x) / b) ** 2)) / (any_value(n) * any_value(b) * sqrt(2 * pi())), 8) AS density "
-    f"FROM {RESIDUALS}, (SELECT n, b, lo + (hi - lo) * i / 29 AS x FROM (SELECT min(residual) AS lo, max(residual) AS hi, count(*) AS n, "
-    f"stddev_samp(residual) * count(*) ** (-0.2::DOUBLE) AS b FROM {RESIDUALS}), range(30) t(i)) GROUP BY x",
+    # Residuals are shared linearly between grid points, as the operator says.
+    "SELECT round(x, 6) AS x, round(sum(w * exp(-0.5 * ((lo + cell * gap - x) / b) ** 2)) / (any_value(n) * any_value(b) * sqrt(2 * pi())), 8) AS density "
+    f"FROM (WITH r AS (SELECT residual FROM {RESIDUALS}), s AS (SELECT *, (hi - lo) / ceil((hi - lo) / (b / 32)) AS gap FROM ("
+    "SELECT min(residual) AS lo, max(residual) AS hi, count(*) AS n, stddev_samp(residual) * count(*) ** (-0.2::DOUBLE) AS b FROM r)), "
+    "p AS (SELECT (residual - lo) / gap AS place FROM r, s), "
+    "g AS (SELECT cell, sum(w) AS w FROM (SELECT floor(place) AS cell, 1 - (place - floor(place)) AS w FROM p "
+    "UNION ALL SELECT floor(place) + 1, place - floor(place) FROM p) GROUP BY cell) "
+    "SELECT g.*, s.*, lo + (hi - lo) * i / 29 AS x FROM g, s, range(30) t(i)) GROUP BY x",
     ("kms",),
 )
 def residual_kde(spark, sf_dir):

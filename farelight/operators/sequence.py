@@ -1,8 +1,8 @@
 """Running values, row indexes, chunks, shuffles and splits over a global order.
 
-None of these sorts the whole data into one task. A running value is computed in two
-levels: totals per block of the order, a running value over the blocks, and a window
-inside every block.
+None of these sorts the whole data into one task. A running value is computed over a tree: totals per
+block of the order, a running value over the blocks, and a window inside every block. More blocks than one task should
+order are gathered into ranges, whose totals are run over in the same way.
 """
 
 from __future__ import annotations
@@ -11,10 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from farelight.session import broadcast_if_small
+from farelight.session import broadcast_if_small, materialize
 
 ROWS_PER_BLOCK = 100_000
 
+#: Blocks of a group whose totals one task runs over.
+BLOCKS_PER_RANGE = 100_000
+
 _AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
@@ -24,6 +27,33 @@ def _combine(kind: str, before: Column, within: Column) -> Column:
     return F.greatest(before, within) if kind == "max" else F.least(before, within)
 
 
+def block_offsets(totals: DataFrame, by: tuple[str, ...], kinds: dict[str, str], block: str = "_block") -> DataFrame:
+    """Rows (*by, block, value...), as a side to join: of each block the aggregate of all earlier blocks of its group.
+
+    ``totals`` has one row per group and block, ``kinds`` maps its value columns to ``sum``, ``max`` or ``min``; a first block has null. Groups
+    of up to ``BLOCKS_PER_RANGE`` blocks are one window each. Beyond that blocks are sorted into ranges, a written table keeps which
+    block is in which range, and the ranges are the blocks of the next level: fewer by ``BLOCKS_PER_RANGE`` with every level.
+    """
+    kept = totals.persist()
+    try:
+        counted = kept.groupBy(*by).agg(F.count("*").alias("k")).agg(F.max("k"), F.sum("k")).first()
+        largest, blocks = counted[0] or 0, counted[1] or 0
+        if largest <= BLOCKS_PER_RANGE:
+            earlier = W.partitionBy(*by).orderBy(block).rowsBetween(W.unboundedPreceding, -1)
+            return broadcast_if_small(kept.select(*by, block, *[_AGGREGATES[kind](n).over(earlier).alias(n) for n, kind in kinds.items()]))
+        # Ranges are cut by a sample and not quite equal.
+        upper = f"{block}_range"
+        placed = kept.repartitionByRange(-(-2 * blocks // BLOCKS_PER_RANGE), *by, block).withColumn(upper, F.spark_partition_id())
+        placed = materialize(placed, "ranges")
+    finally:
+        kept.unpersist()
+    totals = placed.groupBy(*by, upper).agg(*[_AGGREGATES[kind](n).alias(n) for n, kind in kinds.items()])
+    before = block_offsets(totals, by, kinds, upper).withColumnsRenamed({n: f"_r_{n}" for n in kinds})
+    earlier = W.partitionBy(*by, upper).orderBy(block).rowsBetween(W.unboundedPreceding, -1)
+    values = [_combine(kind, F.col(f"_r_{n}"), _AGGREGATES[kind](n).over(earlier)).alias(n) for n, kind in kinds.items()]
+    return broadcast_if_small(placed.join(before, [*by, upper]).select(*by, block, *values))
+
+
 def running_before(
     df: DataFrame, block: Column, order: list[str], values: dict[str, tuple[str, Column]], by: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -34,13 +64,10 @@ def running_before(
     within ``by``. Without an earlier row a maximum or minimum is null and a sum 0.
     """
     rows = df.withColumn("_block", block)
-    totals = rows.groupBy(*by, "_block").agg(*[_AGGREGATES[kind](e).alias(f"_t_{n}") for n, (kind, e) in values.items()])
-    earlier_blocks = W.partitionBy(*by).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(
-        *by, "_block", *[_AGGREGATES[kind](f"_t_{n}").over(earlier_blocks).alias(f"_b_{n}") for n, (kind, _) in values.items()]
-    )
+    totals = rows.groupBy(*by, "_block").agg(*[_AGGREGATES[kind](e).alias(f"_b_{n}") for n, (kind, e) in values.items()])
+    offsets = block_offsets(totals, by, {f"_b_{n}": kind for n, (kind, _) in values.items()})
     earlier_rows = W.partitionBy(*by, "_block").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    joined = rows.join(broadcast_if_small(offsets), [*by, "_block"], "left")
+    joined = rows.join(offsets, [*by, "_block"], "left")
     added = {n: _combine(kind, F.col(f"_b_{n}"), _AGGREGATES[kind](e).over(earlier_rows)) for n, (kind, e) in values.items()}
     return joined.withColumns(added).drop("_block", *[f"_b_{n}" for n in values])
 
@@ -110,12 +137,10 @@ def file_row_index(scan: DataFrame, name: str = "row_index") -> DataFrame:
     the table as read, before any filter.
     """
     rows = scan.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_position"))
-    sizes = rows.groupBy("_file").agg(F.count("*").alias("_n"))
-    earlier = W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    sizes = rows.groupBy("_file").agg(F.count("*").alias("_start"))
     return (
-        rows.join(broadcast_if_small(starts), "_file")
-        .withColumn(name, F.col("_start") + F.col("_position"))
+        rows.join(block_offsets(sizes, (), {"_start": "sum"}, "_file"), "_file")
+        .withColumn(name, F.coalesce("_start", F.lit(0)) + F.col("_position"))
         .drop("_file", "_position", "_start")
     )
 

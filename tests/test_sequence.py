@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from farelight.operators import sequence, stats
@@ -19,6 +20,37 @@ def test_running_values_across_blocks(spark):
     assert len(got) == len(values)
 
 
+@pytest.mark.parametrize("bound", [10, 50])
+def test_running_values_over_a_tree_of_blocks(spark, monkeypatch, bound):
+    monkeypatch.setattr(sequence, "BLOCKS_PER_RANGE", bound)
+    sizes, write = [], sequence.materialize
+    monkeypatch.setattr(sequence, "materialize", lambda df, name: sizes.append(write(df, name)) or sizes[-1])
+    random.seed(bound)
+    values = [(g, i, random.randint(-50, 1000)) for g, n in (("a", 300), ("b", 3), (None, 1)) for i in range(n) if random.random() < 0.9]
+    rows = spark.createDataFrame(values, "g string, i int, v int").repartition(5)
+    kinds = {"s": ("sum", F.col("v")), "hi": ("max", F.col("v")), "lo": ("min", F.col("v"))}
+    for by in (("g",), ()):
+        some = [r for r in values if by and r[0] is not None or r[0] == "a"]
+        sizes.clear()
+        kept = rows.filter("g is not null" if by else "g = 'a'")
+        got = sequence.running_before(kept, F.floor(F.col("i") / 2), ["i"], kinds, by).collect()
+        assert len(got) == len(some)
+        for r in got:
+            before = [v for g, i, v in some if g == r["g"] and i < r["i"]]
+            assert (r["s"], r["hi"], r["lo"]) == (sum(before), max(before, default=None), min(before, default=None))
+        # Every level but the last is cut into ranges of a bounded number of blocks.
+        assert len(sizes) >= (2 if bound == 10 else 1)
+        for level in sizes:
+            assert level.groupBy(level.columns[-1]).count().agg(F.max("count")).first()[0] <= 2 * bound
+
+
+def test_file_index_over_many_files(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(sequence, "BLOCKS_PER_RANGE", 4)
+    spark.range(0, 97, 1, 20).write.parquet(str(tmp_path / "t"))
+    rows = sequence.file_row_index(spark.read.parquet(str(tmp_path / "t"))).collect()
+    assert sorted(r["row_index"] for r in rows) == list(range(97))
+
+
 def history(spark, rmses):
     return spark.createDataFrame([(i, float(r)) for i, r in enumerate(rmses, 1)], "chunk_id bigint, rmse double")
 
