@@ -12,10 +12,16 @@ FIRST_MARK = "1970-01-01T00:00:00"
 FIRST_DAY = "1970-01-01"
 
 
-def incremental_extract(df: DataFrame, ts: str, mark: datetime, threshold: datetime) -> DataFrame:
-    """Rows after the stored mark, up to and including the threshold."""
-    after, until = F.lit(mark).cast("timestamp_ntz"), F.lit(threshold).cast("timestamp_ntz")
-    return df.filter((F.col(ts) > after) & (F.col(ts) <= until))
+def incremental_extract(df: DataFrame, ts: str, mark: datetime, threshold: datetime | None = None) -> DataFrame:
+    """Rows after the stored mark, up to and including the threshold if there is one."""
+    rows = df.filter(F.col(ts) > F.lit(mark).cast("timestamp_ntz"))
+    return rows if threshold is None else rows.filter(F.col(ts) <= F.lit(threshold).cast("timestamp_ntz"))
+
+
+def deferred_extract(kept: DataFrame, ts: str, taken: str, threshold: datetime) -> DataFrame:
+    """Rows kept aside that a threshold reaches for the first time; ``taken`` is the column of the highest earlier threshold, or null."""
+    reached = F.col(ts) <= F.lit(threshold).cast("timestamp_ntz")
+    return kept.filter(reached & (F.col(taken).isNull() | (F.col(ts) > F.col(taken))))
 
 
 def max_event_time(df: DataFrame, ts: str, page: str) -> DataFrame:

@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,6 +91,52 @@ def test_two_drops_equal_one_batch(spark, tmp_path):
     assert spark.read.parquet(rows).count() == 18
 
 
+DAYS = "id int, ts timestamp_ntz"
+
+
+def ingested(spark, tmp_path, drops, threshold, start=None):
+    """One run after dropping a file with a row for each day of 2021; the ids stored so far."""
+    p = {n: str(tmp_path / n) for n in ("drops", "rows", "marks", "cp")}
+    if drops:
+        rows = [(i, datetime(2021, 1, 1) + timedelta(days=i)) for i in drops]
+        spark.createDataFrame(rows, DAYS).coalesce(1).write.parquet(p["drops"], mode="append")
+    stream = ingest.landing_stream(spark, p["drops"], DAYS, 1, "parquet")
+    until = datetime(2021, 1, 1) + timedelta(days=threshold)
+    ingest.incremental_ingest(stream, "ts", p["rows"], p["marks"], p["cp"], until, "20240417", start)
+    return sorted(r["id"] for r in spark.read.schema(DAYS).parquet(p["rows"]).collect())
+
+
+def test_later_thresholds_take_what_was_left(spark, tmp_path):
+    assert ingested(spark, tmp_path, range(0, 100), 30) == list(range(31))
+    # Another file, days 20 to 119; those up to the mark are late.
+    assert ingested(spark, tmp_path, range(20, 120), 50) == sorted([*range(51), *range(31, 51)])
+    assert ingest.stored_mark(spark, str(tmp_path / "marks")) == datetime(2021, 2, 20)
+    # A lower threshold takes nothing, a higher one all that is left, and a repeated one nothing again.
+    assert len(ingested(spark, tmp_path, (), 40)) == 71
+    assert ingested(spark, tmp_path, (), 365) == sorted([*range(51), *range(31, 51), *range(51, 100), *range(51, 120)])
+    assert len(ingested(spark, tmp_path, (), 365)) == 189
+    assert ingest.stored_mark(spark, str(tmp_path / "marks")) == datetime(2021, 4, 30)
+
+
+@pytest.mark.parametrize("second", [30, 20, 60])
+def test_a_run_that_breaks_off_is_continued(spark, tmp_path, monkeypatch, second):
+    assert ingested(spark, tmp_path, range(0, 80), 10) == list(range(11))
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(ingest.DeferredRows, "close_run", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        ingested(spark, tmp_path, range(40, 90), 30)
+    ingested(spark, tmp_path, (), second)
+    assert ingested(spark, tmp_path, (), 365) == sorted([*range(80), *range(40, 90)])
+
+
+@pytest.mark.parametrize("second", [30, 20, 60])
+def test_a_batch_tried_again_with_another_threshold(spark, tmp_path, monkeypatch, second):
+    with monkeypatch.context() as m, pytest.raises(Exception):
+        m.setattr(ingest, "checkpoint_rows", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        ingested(spark, tmp_path, range(0, 80), 30)
+    ingested(spark, tmp_path, (), second)
+    assert ingested(spark, tmp_path, (), 365) == list(range(80))
+
+
 def test_stream_dedup(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     rows = [(f"k{i % 7}", datetime(2021, 1, 1, i % 24)) for i in range(50)]
