@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from farelight.catalog import views
 from farelight.catalog.registry import query
 from farelight.operators import enrich
+from farelight.session import work_path
+from farelight.sources.key_index import KeyIndex
 
 
 @query(
@@ -105,6 +107,21 @@ def incremental_enrich(spark, sf_dir):
     return _shown(enrich.incremental_enrich(rows, stored, dimension))
 
 
+@query(
+    "indexed_enrich",
+    f"SELECT {ENRICHED_COLUMNS} FROM enriched WHERE (trip_type, partition_dt, hashing_key) NOT IN "
+    "(SELECT (trip_type, partition_dt, hashing_key) FROM enriched WHERE batch_id < 4)",
+    ("enriched",),
+)
+def indexed_enrich(spark, sf_dir):
+    """Half of the trips, then all of them: the second run meets the keys the first one left in the index."""
+    rows = views.clean(spark, sf_dir)
+    dimension = views.zone_dimension(spark)
+    index = KeyIndex(spark, work_path(spark, "keys"), buckets=8)
+    index.append_unseen(enrich.enrich_trips(rows.filter(F.col("batch_id") < 4), dimension), 1)
+    return _shown(enrich.indexed_enrich(rows, index, dimension, 2))
+
+
 @query(
     "incremental_enrich_dedupe",
     "SELECT trip_type, partition_dt, count(DISTINCT hashing_key) AS n_rows FROM enriched "

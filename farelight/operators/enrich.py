@@ -120,3 +120,19 @@ def incremental_enrich(
     if dedupe_batch:
         rows = drop_repeats(rows, keys)
     return enrich_trips(rows, zones)
+
+
+def indexed_enrich(new: DataFrame, index, zones: DataFrame, number: int, dedupe_batch: bool = False) -> DataFrame:
+    """Enriched rows to append, as ``incremental_enrich``, for a target whose keys are in a ``KeyIndex``.
+
+    The unseen keys are stored in the index as those of run ``number``. Stored keys are read where they lie. Trips are only
+    joined if some of their keys were stored before, and then with these keys alone; copies of one trip may be many, which
+    adaptive execution splits.
+    """
+    enriched = enrich_trips(new, zones)
+    keys, unseen = index.append_unseen(enriched, number, new)
+    if not unseen:
+        return enriched.limit(0)
+    if unseen < keys:
+        enriched = enriched.join(broadcast_if_small(index.seen(enriched, number, new)), list(index.keys), "left_anti")
+    return drop_repeats(enriched, index.keys) if dedupe_batch else enriched

@@ -10,25 +10,30 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from farelight.operators.enrich import incremental_enrich, stored_keys
+from farelight.operators.enrich import indexed_enrich
 from farelight.session import build_session, release_kept
 from farelight.sources import sinks
-from farelight.sources.tables import has_files, table_scan
+from farelight.sources.key_index import KeyIndex
+from farelight.sources.tables import table_scan
 from farelight.sources.zones import zones_scan
 
 
 def run(
-    spark: SparkSession, trips_path: str, zones_path: str, output: str, trip_type: str | None = None, dedupe_batch: bool = False
+    spark: SparkSession, trips_path: str, zones_path: str, output: str, trip_type: str | None = None, dedupe_batch: bool = False,
+    keys_path: str | None = None,
 ) -> int:
-    """Append the enriched form of unseen trips; return how many rows were appended."""
+    """Append the enriched form of unseen trips; return how many rows were appended.
+
+    The keys of what is stored are in an index, by default beside the output. One run at a time writes to an output.
+    """
     trips = table_scan(spark, trips_path)
     if trip_type:
         trips = trips.filter(F.col("trip_type") == trip_type)
-    existing = None
-    if has_files(spark, output):
-        existing = stored_keys(table_scan(spark, output), trips)
-    rows = incremental_enrich(trips, existing, zones_scan(spark, zones_path), dedupe_batch=dedupe_batch)
+    index = KeyIndex(spark, keys_path or f"{output.rstrip('/')}-keys")
+    number = index.begin(output)
+    rows = indexed_enrich(trips, index, zones_scan(spark, zones_path), number, dedupe_batch)
     appended = sinks.partitioned_append(rows, output)
+    index.finish(number)
     release_kept()
     return appended
 

@@ -1,8 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
 from farelight.operators import enrich
 from farelight.plans import enrichment
 from farelight.sources import sinks
+from farelight.sources.key_index import KeyIndex
 from farelight.sources.zones import ZONE_SCHEMA
 
 ZONES = [
@@ -112,3 +114,74 @@ def test_hot_key_is_split_over_tasks(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def key_frame(spark, names, month="202101"):
+    return spark.createDataFrame([("short_trip", month, k) for k in names], "trip_type string, partition_dt string, hashing_key string")
+
+
+def test_key_index(spark, tmp_path):
+    index = KeyIndex(spark, str(tmp_path / "keys"), buckets=4)
+    assert index.is_empty() and index.append_unseen(key_frame(spark, ["a", "a", "b"]), 1) == (2, 2)
+    # Another session or a later one opens the same files; the number of buckets is that of the files.
+    index = KeyIndex(spark, str(tmp_path / "keys"))
+    assert index.buckets == 4
+    assert index.append_unseen(key_frame(spark, ["b", "c"]), 2) == (2, 1)
+    assert index.append_unseen(key_frame(spark, ["b", "c", "d"]), 2) == (3, 2)
+    assert [r["hashing_key"] for r in index.seen(key_frame(spark, ["b", "c"]), 2).collect()] == ["b"]
+    assert index.append_unseen(key_frame(spark, ["b"], "202102"), 3) == (1, 1)
+    assert index.append_unseen(key_frame(spark, []), 4) == (0, 0)
+    everything = sorted((r["partition_dt"], r["hashing_key"]) for r in index.table().collect())
+    assert everything == [("202101", k) for k in "abcd"] + [("202102", "b")]
+    index.compact()
+    assert sorted((r["partition_dt"], r["hashing_key"]) for r in KeyIndex(spark, str(tmp_path / "keys")).table().collect()) == everything
+    assert len(list((tmp_path / "keys" / "rows").iterdir())) == 1
+
+
+def test_stored_keys_are_neither_shuffled_nor_rewritten(spark, tmp_path):
+    index = KeyIndex(spark, str(tmp_path / "keys"), buckets=8)
+    index.append_unseen(key_frame(spark, [str(i) for i in range(500)]), 1)
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "keys" / "rows").rglob("*.parquet")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = key_frame(spark, [str(i) for i in range(400, 900)])
+        plan = index.seen(new, 2)._jdf.queryExecution().executedPlan().toString()
+        stored = plan[plan.index("FileScan") - 600 :]
+        assert "Bucketed: true" in stored and "In(partition_dt" in stored.replace("EqualTo(partition_dt", "In(partition_dt")
+        assert plan.count("Exchange") == plan[: plan.index("FileScan")].count("Exchange")
+        assert index.append_unseen(new, 2) == (500, 400)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert before.items() <= {f: f.stat().st_mtime_ns for f in (tmp_path / "keys" / "rows").rglob("*.parquet")}.items()
+
+
+def test_job_after_a_run_that_broke_off(spark, tmp_path, monkeypatch):
+    trips, zones, output = (str(tmp_path / n) for n in ("trips", "zones", "out"))
+    sinks.partitioned_append(trip_frame(spark, ROWS), trips)
+    zone_frame(spark).write.json(zones)
+    # Keys are stored, trips are not.
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(sinks, "partitioned_append", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        enrichment.run(spark, trips, zones, output)
+    assert enrichment.run(spark, trips, zones, output) == 4
+    # Trips are stored, the run is not closed.
+    sinks.partitioned_append(trip_frame(spark, [("1", "2", "short_trip", "202101", "k9")]), trips)
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(KeyIndex, "finish", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        enrichment.run(spark, trips, zones, output)
+    assert enrichment.run(spark, trips, zones, output) == 0
+    # A target without an index gets one.
+    assert enrichment.run(spark, trips, zones, output, keys_path=str(tmp_path / "other")) == 0
+    assert spark.read.parquet(output).count() == 5
+
+
+def test_indexed_enrichment_of_a_hot_key(spark, tmp_path):
+    rows = spark.range(30000).select(
+        F.lit("1").alias("pulocationid"), F.lit("2").alias("dolocationid"), F.lit("short_trip").alias("trip_type"),
+        F.lit("202101").alias("partition_dt"),
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") == 1, None).otherwise(F.col("id").cast("string")).alias("hashing_key"),
+    )
+    index = KeyIndex(spark, str(tmp_path / "keys"), buckets=4)
+    index.append_unseen(key_frame(spark, ["hot", "2"]), 1)
+    assert enrich.indexed_enrich(rows, index, zone_frame(spark), 2).count() == 19999
+    assert enrich.indexed_enrich(rows, index, zone_frame(spark), 3, dedupe_batch=True).collect()[0]["hashing_key"] is None
