@@ -59,6 +59,16 @@ def landing_scan_arrays(spark, sf_dir):
     return _typed(landing.landing_scan(spark, path, WITH_KEY, multi_line=True, glob="*.txt"))
 
 
+@query("landing_scan_large_arrays", f"SELECT {RAW} FROM trips", ("trips",))
+def landing_scan_large_arrays(spark, sf_dir):
+    """Arrays of many trips, each cut and read by several tasks."""
+    path = work_path(spark, "arrays")
+    extra = {name: F.lit("0") for name in UNUSED[1:8]}
+    rows = views.raw_trips(spark, sf_dir).withColumns({"vendorid": F.col("trip_key"), **extra}).drop("trip_key", "batch_id")
+    sinks.json_array_sink(rows, path, F.pmod(F.xxhash64("vendorid"), F.lit(4)), one_per_file=True)
+    return _typed(landing.array_scan(spark, path, WITH_KEY, "*.txt", split_above=100_000))
+
+
 @query("file_schema_guard", f"SELECT {RAW} FROM trips WHERE batch_id <> 7", ("trips",))
 def file_schema_guard(spark, sf_dir):
     paths = _write_landing(spark, sf_dir, by_batch=True)
@@ -296,6 +306,33 @@ def incremental_ingest(spark, sf_dir):
     return spark.read.schema(events.schema).parquet(f"{root}/rows").select("event_id", "ts", "event_type")
 
 
+QUARTER, HALF = ("(SELECT min(ts) + (max(ts) - min(ts)) / %d FROM events)" % part for part in (4, 2))
+
+
+@query(
+    "deferred_ingest",
+    "SELECT event_id, ts, event_type FROM events WHERE ts > TIMESTAMP '1970-01-01' AND "
+    f"((event_id % 2 = 0 AND ts <= {HALF}) OR (event_id % 2 = 1 AND ts <= {HALF} "
+    f"AND ts > (SELECT max(ts) FROM events WHERE event_id % 2 = 0 AND ts <= {QUARTER})))",
+)
+def deferred_ingest(spark, sf_dir):
+    """Two runs with a later threshold: the second also takes what the first one left of the files it read."""
+    from farelight.streaming.ingest import incremental_ingest as ingest
+    from farelight.streaming.ingest import landing_stream
+
+    root = work_path(spark, "deferred")
+    events = views.table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    for half, part in ((0, 4), (1, 2)):
+        events.filter(F.col("event_id") % 2 == half).write.mode("append").parquet(f"{root}/drops")
+        stream = landing_stream(spark, f"{root}/drops", events.schema, fmt="parquet")
+        ingest(
+            stream, "ts", f"{root}/rows", f"{root}/marks", f"{root}/checkpoint", low + (high - low) / part, "20261231",
+            start_mark=None if half else datetime(1970, 1, 1),
+        )
+    return spark.read.schema(events.schema).parquet(f"{root}/rows").select("event_id", "ts", "event_type")
+
+
 @query("dedup_on_key", "SELECT DISTINCT hashing_key FROM clean", ("clean",))
 def dedup_on_key(spark, sf_dir):
     from farelight.streaming.dedup import dedup_on_key as dedup

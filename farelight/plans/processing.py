@@ -74,8 +74,7 @@ def run(
 ) -> DataFrame | None:
     """Process the newest landing folder unless it was done; return the reject audit.
 
-    Landing files hold a document per line, as collection writes them; with ``multi_line`` one array each, which
-    cannot be split over tasks.
+    Landing files hold a document per line, as collection writes them; with ``multi_line`` one array each.
     """
     files = snapshots.list_files(spark, landing, "*.json")
     newest = snapshots.latest_dated_folder(files, landing).first()["folder_name"]

@@ -37,17 +37,75 @@ def landing_scan(
 ) -> DataFrame:
     """All landing files in one scan; the narrow schema prunes the other fields.
 
-    ``multi_line`` reads files holding one JSON array each. Without it every line is a
+    ``multi_line`` reads files holding one JSON array each, large ones in several tasks (``array_scan``). Without it every line is a
     document (an object or an array) and large files can be split. ``batch_id`` names the
     file a row came from.
     """
-    return (
+    if multi_line:
+        return array_scan(spark, path, columns, glob)
+    return _json_scan(spark, path, columns, False, glob)
+
+
+def _json_scan(spark: SparkSession, path: str | list[str], columns: tuple[str, ...], multi_line: bool, glob: str, files: Column | None = None) -> DataFrame:
+    """Rows of the JSON files that the condition on their metadata lets through; Spark does not open the others."""
+    rows = (
         spark.read.schema(landing_schema(columns))
         .option("multiLine", multi_line)
         .option("pathGlobFilter", glob)
         .json(path)
-        .select(*columns, F.col("_metadata.file_name").alias("batch_id"))
     )
+    rows = rows if files is None else rows.filter(files)
+    return rows.select(*columns, F.col("_metadata.file_name").alias("batch_id"))
+
+
+# A piece of an array between two closing braces: an object after a bracket or comma; the end of the array, or all of an empty one.
+_OBJECT = r"^\s*[\[,]\s*\{"
+_END = r"^\s*\[?\s*\]\s*$"
+
+
+def _pieces(spark: SparkSession, path: str | list[str], columns: tuple[str, ...], glob: str, files: Column) -> DataFrame:
+    """Array files cut at every closing brace, by any number of tasks: the object of each piece, and whether it is one."""
+    text = spark.read.option("lineSep", "}").option("pathGlobFilter", glob).text(path).filter(files)
+    schema = T.StructType([*landing_schema(columns).fields, T.StructField("_broken", T.StringType())])
+    whole = F.concat(F.regexp_replace("value", r"^\s*[\[,]\s*", ""), F.lit("}"))
+    return text.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_name").alias("batch_id"),
+        F.col("value").rlike(_END).alias("ends"),
+        F.col("value").rlike(_OBJECT).alias("opens"),
+        F.from_json(whole, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}).alias("row"),
+    )
+
+
+def array_scan(
+    spark: SparkSession,
+    path: str | list[str],
+    columns: tuple[str, ...] = LANDING_COLUMNS,
+    glob: str = "*.json",
+    split_above: int | None = None,
+) -> DataFrame:
+    """Rows of files that hold one JSON array each, as Spark's multi-line reader returns them; large files are split.
+
+    (A number without quotes is text here; only the one or the other keeps zeros at its end.)
+
+    A file beyond ``split_above`` bytes (by default what a task reads) is cut at closing braces. That is right where the objects of the
+    array are flat and no text holds a brace. Anywhere else the first piece cut wrongly is not a whole object, which a pass over
+    the large files finds: these files, and those that are no closed array, are left to the multi-line reader, a task each.
+    """
+    if split_above is None:
+        split_above = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes")))
+    large = F.col("_metadata.file_size") > split_above
+    rows = _json_scan(spark, path, columns, True, glob, ~large)
+    wrong = ~F.col("ends") & ~(F.col("opens") & F.col("row").isNotNull() & F.col("row._broken").isNull())
+    about = _pieces(spark, path, columns, glob, large).groupBy("file").agg(F.bool_or(wrong).alias("wrong"), F.count_if("ends").alias("ends"))
+    found = about.select("file", (F.col("wrong") | (F.col("ends") != 1)).alias("whole")).collect()
+    whole = [r["file"] for r in found if r["whole"]]
+    if len(found) > len(whole):
+        cut = _pieces(spark, path, columns, glob, large & ~F.col("_metadata.file_path").isin(whole)).filter(~F.col("ends"))
+        rows = rows.unionByName(cut.select(*[F.col(f"row.{c}").alias(c) for c in columns], "batch_id"))
+    if whole:
+        rows = rows.unionByName(_json_scan(spark, path, columns, True, glob, large & F.col("_metadata.file_path").isin(whole)))
+    return rows
 
 
 def _document_keys(document: Column) -> Column:

@@ -5,6 +5,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from farelight.operators import incremental
 from farelight.plans import advisor, collection, enrichment, processing, training, zones
 from farelight.sources import landing, sinks
 
@@ -95,6 +96,25 @@ def test_collection(spark, tmp_path):
     assert spark.read.json(p["marks"]).select("execution_date").first()[0] == "20240417"
 
 
+def test_collection_with_a_later_threshold(spark, tmp_path):
+    """One file that a threshold cuts through: the next run collects the rest of it."""
+    wanted = ["2021-01-10T00:00:00.000", "2021-03-05T00:00:00.000"]
+    rows = spark.createDataFrame(raw_trips(2, 0)[:2]).select(*landing.LANDING_COLUMNS)
+    times = spark.createDataFrame([(t,) for t in wanted], "tpep_pickup_datetime string")
+    rows = rows.limit(1).drop("tpep_pickup_datetime").crossJoin(times).select(*landing.LANDING_COLUMNS).coalesce(1)
+    p = collect_rows(spark, tmp_path, rows)
+
+    def stored():
+        found = [landing.landing_scan(spark, f"{p['landing']}/{d.name}", multi_line=False) for d in (tmp_path / "landing").iterdir()]
+        return sorted(r["tpep_pickup_datetime"] for f in found for r in f.collect())
+
+    assert stored() == wanted[:1]
+    for day in (18, 19):
+        collection.run(spark, "2021-04-30", p["drops"], p["landing"], p["marks"], p["cp"], date(2024, 4, day))
+        assert stored() == wanted
+    assert incremental.high_water_mark(spark.read.json(p["marks"])).first()["mark"] == datetime(2021, 3, 5)
+
+
 def test_from_collection_to_answers(spark, tmp_path):
     rows = spark.createDataFrame(raw_trips(600, 1)).select(*landing.LANDING_COLUMNS)
     p = collect_rows(spark, tmp_path, rows, "2022-01-01")

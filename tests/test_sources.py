@@ -122,3 +122,40 @@ def test_scores_round_trip(spark, tmp_path):
     single = tmp_path / "one.json"
     single.write_text(json.dumps({"chunk_1": {"model_path": "m", "rmse": 2.0, "r2": 0.1, "mae": 1.0, "percentage_improvement": 0.0}}))
     assert checkpoints.scores_scan(spark, str(single)).first()["chunk"] == "chunk_1"
+
+
+def trip_array(n, **changed):
+    return [{name: f"{name} {i}, [x]" for name in landing.LANDING_COLUMNS} | {"other": "é\\n\"", **changed} for i in range(n)]
+
+
+ARRAYS = {
+    "flat": json.dumps(trip_array(60)),
+    "indented": json.dumps(trip_array(60), indent=3, ensure_ascii=False),
+    "one": json.dumps(trip_array(1)),
+    "empty": " [ ] \n",
+    "brace": json.dumps([*trip_array(20), *trip_array(1, other="},{"), *trip_array(20, fare_amount="}")]),
+    "nested": json.dumps(trip_array(30, other={"a": {"b": 1}})),
+    "number": json.dumps(trip_array(30, fare_amount=2.5)),
+    "null": json.dumps(trip_array(30, fare_amount=None)),
+    "lines": "\n".join(json.dumps(r) for r in trip_array(20)),
+    "cut": json.dumps(trip_array(20))[:-2],
+    "mixed": json.dumps([1, *trip_array(3)]),
+}
+
+
+@pytest.mark.parametrize("name", ARRAYS)
+def test_split_arrays_are_read_as_whole_ones(spark, tmp_path, name):
+    (tmp_path / "a.json").write_text(ARRAYS[name], encoding="utf-8")
+    (tmp_path / "b.json").write_text(ARRAYS["flat"], encoding="utf-8")
+    expected = landing._json_scan(spark, str(tmp_path), landing.LANDING_COLUMNS, True, "*.json")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000b")
+    try:
+        found = landing.array_scan(spark, str(tmp_path), split_above=0)
+        key = lambda r: tuple(str(x) for x in r)
+        assert sorted(map(tuple, found.collect()), key=key) == sorted(map(tuple, expected.collect()), key=key)
+        if name == "flat":
+            tasks = found.filter("batch_id = 'a.json'").select(F.spark_partition_id().alias("p")).distinct().count()
+            assert tasks > 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
