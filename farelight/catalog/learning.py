@@ -7,10 +7,12 @@ that only their optimum meets.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelight.catalog import views
@@ -95,6 +97,72 @@ def one_hot_drop_first(spark, sf_dir):
     return models.dummy_stage(levels).transform(rows).drop("pickup_daytime", "pickup_weekday")
 
 
+BOTH_ENDS = """(SELECT f.*, (CASE WHEN hour(tpep_dropoff_datetime) BETWEEN 7 AND 10 OR hour(tpep_dropoff_datetime) BETWEEN 16 AND 19 THEN 1
+           WHEN hour(tpep_dropoff_datetime) >= 20 OR hour(tpep_dropoff_datetime) <= 6 THEN 2 ELSE 3 END) AS dropoff_daytime,
+       hour(tpep_dropoff_datetime) AS dropoff_hour, isodow(tpep_dropoff_datetime) AS dropoff_weekday,
+       (hour(tpep_dropoff_datetime) * 60 + minute(tpep_dropoff_datetime)) // 15 AS dropoff_quarter,
+       hour(tpep_dropoff_datetime) * 60 + minute(tpep_dropoff_datetime) AS dropoff_seconds,
+       (tpep_dropoff_datetime::DATE IN (SELECT d FROM holidays))::INTEGER AS dropoff_holiday,
+       (isodow(tpep_dropoff_datetime) >= 6)::INTEGER AS dropoff_weekend FROM features f)"""
+COST_SCALED = models.COST.scaled
+
+
+@query(
+    "feature_vector_cost",
+    "SELECT trip_key, " + ", ".join(f"round({c}::DOUBLE, 6) AS {c}" for c in models.COST.features) + f" FROM {BOTH_ENDS}",
+    ("holidays", "features"),
+)
+def feature_vector_cost(spark, sf_dir):
+    rows = models.feature_vector(views.enriched(spark, sf_dir), models.COST)
+    values = vector_to_array("features")
+    return rows.select("trip_key", *[F.round(values[i], 6).alias(name) for i, name in enumerate(models.COST.features)])
+
+
+def _scaled_cost(spark, sf_dir, stages):
+    rows = materialize(views.enriched(spark, sf_dir).select("trip_key", *COST_SCALED), "rows")
+    values = vector_to_array("scaled")
+    scaled = Pipeline(stages=stages(rows)).fit(rows).transform(rows)
+    return scaled.select("trip_key", *[F.round(values[i], 6).alias(name) for i, name in enumerate(COST_SCALED)])
+
+
+@query(
+    "standard_scale_cost",
+    "SELECT trip_key, " + ", ".join(f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) AS {c}" for c in COST_SCALED)
+    + f" FROM {BOTH_ENDS}",
+    ("holidays", "features"),
+)
+def standard_scale_cost(spark, sf_dir):
+    return _scaled_cost(spark, sf_dir, lambda rows: models.standard_scale_stages(COST_SCALED, rows.count()))
+
+
+@query(
+    "minmax_scale_cost",
+    "SELECT trip_key, "
+    + ", ".join(f"round(({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()), 6) AS {c}" for c in COST_SCALED)
+    + f" FROM {BOTH_ENDS}",
+    ("holidays", "features"),
+)
+def minmax_scale_cost(spark, sf_dir):
+    return _scaled_cost(spark, sf_dir, lambda rows: models.minmax_scale_stages(COST_SCALED))
+
+
+# Every value of these occurs in the tables; an hour is one of 24.
+COST_LEVELS = {c: range(1, 4) if "daytime" in c else range(24) if "hour" in c else range(1, 8) for c in models.COST.categorical}
+
+
+@query(
+    "one_hot_drop_first_cost",
+    "SELECT trip_key, "
+    + ", ".join(f"({c} = {v})::INTEGER::DOUBLE AS {c}_is_{v}" for c, values in COST_LEVELS.items() for v in values[1:])
+    + f" FROM {BOTH_ENDS}",
+    ("holidays", "features"),
+)
+def one_hot_drop_first_cost(spark, sf_dir):
+    columns = models.COST.categorical
+    rows = materialize(views.enriched(spark, sf_dir).select("trip_key", *columns), "rows")
+    return models.dummy_stage(models.category_levels(rows, columns)).transform(rows).drop(*columns)
+
+
 def _line(spark, model, rows):
     """(n, intercept, slope, r2) of a fitted single-feature model."""
     return spark.createDataFrame(
@@ -262,6 +330,33 @@ def random_forest(spark, sf_dir):
     )
 
 
+def _holdout(spark, sf_dir, fits):
+    """Metrics of models with all features on the rows they have not seen, a model per target, regressor and trip type."""
+    found = []
+    for target, spec, regressors in fits:
+        rows = _trimmed(spark, sf_dir, spec)
+        for kind in sorted(r[0] for r in rows.select("trip_type").distinct().collect()):
+            part = rows.filter(F.col("trip_type") == kind)
+            for regressor in regressors:
+                model = models.fit_model(part.filter("is_train"), spec, regressor)
+                metrics = models.holdout_evaluate(model, part.filter(~F.col("is_train")), spec)
+                found.append(metrics.select(F.lit(target).alias("target"), F.lit(regressor).alias("regressor"), F.lit(kind).alias("trip_type"), "*"))
+    return reduce(DataFrame.unionByName, found)
+
+
+@fitted_query("linear_holdout")
+def linear_holdout(spark, sf_dir):
+    """Linear and voting models of duration and cost, per trip type."""
+    linear = ("linear_regressor", "voting_regressor")
+    return _holdout(spark, sf_dir, (("duration", models.DURATION, linear), ("cost", models.COST, linear)))
+
+
+@fitted_query("forest_holdout")
+def forest_holdout(spark, sf_dir):
+    """The duration forest with its start parameters, per trip type."""
+    return _holdout(spark, sf_dir, (("duration", models.DURATION, ("randomforest_regressor",)),))
+
+
 @query(
     "cross_validate",
     "SELECT f.fold, count(*) AS n, round(sqrt(avg((trip_duration - a - b * trip_distance) ** 2)), 4) AS rmse FROM features f JOIN ("
@@ -270,11 +365,22 @@ def random_forest(spark, sf_dir):
     ("features",),
 )
 def cross_validate(spark, sf_dir):
-    rows = materialize(_rows(spark, sf_dir).select(F.col("fold").cast("bigint").alias("fold"), "trip_duration", "trip_distance"), "rows")
+    rows = materialize(_rows(spark, sf_dir).select("fold", "trip_duration", "trip_distance"), "rows")
+    found = models.cross_validate(rows, ONE, "linear_regressor")
+    return found.select(F.col("fold").cast("bigint").alias("fold"), "n", F.round("rmse", 4).alias("rmse"))
+
+
+@query(
+    "fold_least_squares",
+    "SELECT k::BIGINT AS fold, count(*) AS n, round(regr_intercept(trip_duration, trip_distance), 5) AS intercept, "
+    "round(regr_slope(trip_duration, trip_distance), 5) AS slope FROM features JOIN range(10) t(k) ON fold <> k GROUP BY k",
+    ("features",),
+)
+def fold_least_squares(spark, sf_dir):
+    """The fits themselves, of every fold's complement, from one pass over the rows."""
+    rows = _rows(spark, sf_dir).select(F.col("fold").cast("bigint").alias("fold"), "trip_duration", "trip_distance")
     fits = models.fold_least_squares(rows, DISTANCE_ONLY, "trip_duration")
-    scored = models.score_by_chunk(rows, fits, DISTANCE_ONLY, "fold")
-    found = stats.regression_metrics(scored, "trip_duration", by=("fold",))
-    return found.select("fold", "n", F.round("rmse", 4).alias("rmse"))
+    return fits.select("fold", "n", F.round("intercept", 5).alias("intercept"), F.round(F.col("coefficients")[0], 5).alias("slope"))
 
 
 @query(
@@ -309,6 +415,44 @@ def chunked_fit_best(spark, sf_dir):
     return stats.best_score(found.select("chunk_id", "n", F.round("rmse", 4).alias("rmse")))
 
 
+CHUNK_LINES = (
+    "(SELECT l_orderkey // 1000 AS chunk_id, regr_slope(trip_duration, trip_distance) AS b, regr_intercept(trip_duration, trip_distance) AS a "
+    "FROM features WHERE is_train GROUP BY 1)"
+)
+
+
+@query(
+    "kept_chunk_model",
+    "SELECT trip_key, chunk_id, round(a + b * trip_distance, 4) AS prediction FROM features, (SELECT chunk_id, a, b FROM ("
+    "SELECT chunk_id, any_value(a) AS a, any_value(b) AS b, sqrt(avg((trip_duration - a - b * trip_distance) ** 2)) AS rmse FROM ("
+    f"SELECT *, l_orderkey // 1000 AS chunk_id FROM features WHERE NOT is_train) JOIN {CHUNK_LINES} USING (chunk_id) GROUP BY chunk_id) "
+    "ORDER BY rmse, chunk_id LIMIT 1) WHERE NOT is_train",
+    ("features",),
+)
+def kept_chunk_model(spark, sf_dir):
+    """All hold-out trips with the prediction of the model that was kept: that of the chunk with the lowest error."""
+    return _kept_predictions(spark, sf_dir, ONE).withColumn("prediction", F.round("prediction", 4))
+
+
+@fitted_query("kept_chunk_model_full")
+def kept_chunk_model_full(spark, sf_dir):
+    """As ``kept_chunk_model``, with all nine features."""
+    return _kept_predictions(spark, sf_dir, models.DURATION)
+
+
+def _kept_predictions(spark, sf_dir, spec):
+    path = work_path(spark, "chunk_models")
+    rows = _rows(spark, sf_dir).withColumn("chunk_id", F.floor(F.col("l_orderkey") / 1000))
+    rows = materialize(rows.select("trip_key", "chunk_id", "is_train", spec.target, *spec.features), "rows")
+    train, test = rows.filter("is_train"), rows.filter(~F.col("is_train"))
+    fits, columns = models.chunk_fits(train, spec)
+    fits = materialize(fits, "fits")
+    models.store_chunk_models(fits, models.chunk_scores(test, spec, fits, columns), columns, path)
+    chunk, fit = models.kept_model(spark, path)
+    scored = models.predict(fit.model(), models.model_input(test, spec, ("trip_key",)))
+    return scored.select("trip_key", F.lit(chunk).cast("bigint").alias("chunk_id"), "prediction")
+
+
 GROWN = "list_reduce(list_prepend({start}::DOUBLE, range(growth_step)::DOUBLE[]), lambda a, x: {rule})"
 
 
@@ -340,19 +484,38 @@ def hyperparameter_growth(spark, sf_dir):
 @query(
     "batch_score",
     "SELECT trip_key, CASE WHEN trip_distance > 35.0 THEN 'long_trip' ELSE 'short_trip' END AS trip_type, "
-    "CASE WHEN trip_distance > 35.0 THEN 'no_model' ELSE 'ok' END AS score_status, true AS dropoff_fits, true AS eta_fits, true AS answer_fits "
-    "FROM enriched",
+    "'ok' AS score_status, true AS dropoff_fits, true AS eta_fits, true AS answer_fits FROM enriched",
     ("enriched",),
 )
 def batch_score(spark, sf_dir):
-    """All trips as requests, with models for short trips only, as the SQL states; ``batch_predictions`` serves both trip types.
+    """All trips as requests, each with the models of its trip type.
 
-    Dropoff, arrival clock and answer are checked against the predicted values.
+    Dropoff, arrival clock and answer are checked against the predicted values, which ``batch_predictions`` returns.
     """
-    scored = _scored_requests(spark, sf_dir, ("short_trip",))
+    scored = _scored_requests(spark, sf_dir, ("short_trip", "long_trip"))
     return scored.select("trip_key", "trip_type", "score_status", *_score_checks())
 
 
+TYPE_LINES = (
+    "(SELECT trip_type, regr_slope(trip_duration, trip_distance) AS db, regr_intercept(trip_duration, trip_distance) AS da, "
+    "regr_slope(trip_cost, trip_duration) AS cb, regr_intercept(trip_cost, trip_duration) AS ca FROM enriched GROUP BY trip_type)"
+)
+
+
+@query(
+    "batch_score_values",
+    "SELECT trip_key, trip_type, minutes AS trip_duration, round(ca + cb * minutes, 2) AS trip_cost, "
+    "strftime(date_trunc('minute', tpep_pickup_datetime) + to_minutes(trunc(minutes)::INTEGER), '%H:%M') AS eta FROM ("
+    f"SELECT e.*, ca, cb, round(da + db * trip_distance, 2) AS minutes FROM enriched e JOIN {TYPE_LINES} USING (trip_type))",
+    ("enriched",),
+)
+def batch_score_values(spark, sf_dir):
+    """All trips as requests, with one-feature models per trip type: durations by distance, costs by the predicted duration."""
+    cost = models.ModelSpec("trip_cost", ("trip_duration",), ("trip_duration",), ())
+    scored = _scored_requests(spark, sf_dir, ("short_trip", "long_trip"), ONE, cost)
+    return scored.select("trip_key", "trip_type", "trip_duration", "trip_cost", "eta")
+
+
 @fitted_query("batch_predictions")
 def batch_predictions(spark, sf_dir):
     """All trips as requests, each with the models of its trip type: what is predicted, and the checks of it."""
@@ -361,7 +524,7 @@ def batch_predictions(spark, sf_dir):
     return scored.select("trip_key", "trip_type", "score_status", *predicted, *_score_checks())
 
 
-def _scored_requests(spark, sf_dir, kinds):
+def _scored_requests(spark, sf_dir, kinds, duration_spec=models.DURATION, cost_spec=models.COST):
     """Trips as requests, scored by duration models and then cost models fed with their result; a type without trips has no models."""
     spec_columns = [*models.COST.features, "trip_cost", "trip_distance"]
     rows = views.enriched(spark, sf_dir).select("trip_key", "trip_type", "tpep_pickup_datetime", *spec_columns)
@@ -370,8 +533,8 @@ def _scored_requests(spark, sf_dir, kinds):
     duration, cost = {}, {}
     for kind in (k for k in kinds if k in present):
         part = rows.filter(F.col("trip_type") == kind)
-        duration[kind] = [models.fit_model(part, models.DURATION, "linear_regressor")]
-        cost[kind] = [models.fit_model(part, models.COST, "linear_regressor")]
+        duration[kind] = [models.fit_model(part, duration_spec, "linear_regressor")]
+        cost[kind] = [models.fit_model(part, cost_spec, "linear_regressor")]
     asked = rows.select(
         "trip_key", F.col("tpep_pickup_datetime").alias("pickup_ts"), "trip_distance", "haversine_centroid_distance"
     )
@@ -429,6 +592,22 @@ def prediction_cache(spark, sf_dir):
     )
 
 
+@query(
+    "prediction_cache_runs",
+    "SELECT trip_key, trip_distance * 2 + trip_duration AS prediction, n_scored FROM kms, (SELECT count(*) AS n_scored FROM ("
+    "SELECT DISTINCT trip_distance, trip_duration FROM kms EXCEPT SELECT trip_distance, trip_duration FROM kms WHERE batch_id < 4))",
+    ("kms",),
+)
+def prediction_cache_runs(spark, sf_dir):
+    """Half of the trips, then all of them: the second run scores the vectors that the first one has not stored."""
+    rule = SQLTransformer(statement="SELECT *, trip_distance * 2 + trip_duration AS prediction FROM __THIS__")
+    rows = views.kms(spark, sf_dir).select("trip_key", "batch_id", "trip_distance", "trip_duration")
+    table = models.ScoreTable(spark, work_path(spark, "scores"), "1", ["trip_distance", "trip_duration"], "prediction")
+    table.scored(rows.filter("batch_id < 4"), rule.transform)
+    found, n = table.scored(rows, rule.transform)
+    return found.select("trip_key", "prediction", F.lit(n).cast("bigint").alias("n_scored"))
+
+
 @query("stage_trips", "SELECT trip_key, count(*) AS n FROM trips GROUP BY trip_key", ("trips",))
 def stage_trips(spark, sf_dir):
     rows = spark.read.parquet(views.stage_trips(spark, sf_dir))

@@ -5,20 +5,22 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import ElementwiseProduct, MinMaxScaler, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from farelight.operators import stats
 from farelight.session import broadcast_if_small, materialize, shared_root
-from farelight.sources.tables import COST_COLUMNS, DURATION_COLUMNS
+from farelight.sources.tables import COST_COLUMNS, DURATION_COLUMNS, path_exists
 
 
 @dataclass(frozen=True)
@@ -62,6 +64,9 @@ REGRESSORS = ("linear_regressor", "randomforest_regressor", "voting_regressor")
 
 MAX_LEVELS = 1000
 
+#: Forests of a cross-validation that are fitted at the same time.
+FITS_AT_ONCE = 4
+
 
 def feature_vector(df: DataFrame, spec: ModelSpec, output: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(spec.features), outputCol=output).transform(df)
@@ -190,16 +195,19 @@ def model_input(df: DataFrame, spec: ModelSpec, extra: tuple[str, ...] = ()) ->
     )
 
 
+def _set_checkpoints(spark: SparkSession) -> None:
+    """Deep forests cut the lineage of their node ids every few levels."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_root(spark))
+
+
 def fit_model(train: DataFrame, spec: ModelSpec, regressor: str, params: dict | None = None) -> PipelineModel:
     """One distributed fit on all training rows; linear models read them once, forests keep them for their passes."""
     if regressor not in REGRESSORS:
         raise ValueError(f"{regressor} is not one of {', '.join(REGRESSORS)}")
     if regressor in LINEAR_MEMBERS:
         return fit_linear(train, spec, regressor, params).model()
-    context = train.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        # Deep forests cut the lineage of their node ids every few levels.
-        context.setCheckpointDir(shared_root(train.sparkSession))
+    _set_checkpoints(train.sparkSession)
     rows = model_input(train, spec).persist()
     try:
         return build_pipeline(spec, params).fit(rows)
@@ -226,7 +234,8 @@ def residuals(model: Transformer, test: DataFrame, spec: ModelSpec) -> DataFrame
 def cross_validate(df: DataFrame, spec: ModelSpec, regressor: str, fold: str = "fold", params: dict | None = None) -> DataFrame:
     """Metrics per fold of the model fitted on all other folds.
 
-    Linear models come from one pass over all rows; forests are fitted fold by fold.
+    Linear models come from one pass over all rows. Forests share one kept input that is read once; ``FITS_AT_ONCE`` of
+    them are fitted at the same time, each without the rows of its fold.
     """
     rows = model_input(df, spec, (fold,))
     if regressor in LINEAR_MEMBERS:
@@ -234,13 +243,23 @@ def cross_validate(df: DataFrame, spec: ModelSpec, regressor: str, fold: str = "
         for number, fitted in fold_linear_fits(rows, spec, regressor, fold, params).items():
             prediction = F.when(F.col(fold) == number, F.expr(fitted.expression())).otherwise(prediction)
         return stats.regression_metrics(rows.withColumn("prediction", prediction), spec.target, by=(fold,))
-    rows = materialize(rows, "folds")
-    parts = None
-    for number in sorted(row[0] for row in rows.select(fold).distinct().collect()):
-        model = fit_model(rows.filter(F.col(fold) != number), spec, regressor, params)
-        part = stats.regression_metrics(predict(model, rows.filter(F.col(fold) == number)), spec.target, by=(fold,))
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+    spark = df.sparkSession
+    _set_checkpoints(spark)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        numbers = sorted(row[0] for row in rows.select(fold).distinct().collect())
+
+        def evaluate(number: int) -> list:
+            model = build_pipeline(spec, params).fit(rows.filter(F.col(fold) != number))
+            own = predict(model, rows.filter(F.col(fold) == number))
+            return stats.regression_metrics(own, spec.target, by=(fold,)).collect()
+
+        with ThreadPool(min(FITS_AT_ONCE, max(len(numbers), 1))) as pool:
+            found = pool.map(inheritable_thread_target(spark)(evaluate), numbers)
+    finally:
+        rows.unpersist()
+    schema = f"{fold} {df.schema[fold].dataType.simpleString()}, n bigint, rmse double, r2 double, mae double"
+    return spark.createDataFrame([row for part in found for row in part], schema)
 
 
 # Linear models from one pass -------------------------------------------------------------
@@ -421,6 +440,42 @@ def score_by_chunk(rows: DataFrame, fits: DataFrame, features: list[str], by: st
     return joined.withColumn("prediction", prediction).drop("intercept", "coefficients")
 
 
+def chunk_fits(train: DataFrame, spec: ModelSpec, by: str = "chunk_id") -> tuple[DataFrame, dict[str, str]]:
+    """Least squares per chunk over all features, as ``chunked_least_squares``, and the SQL of the design columns by name."""
+    rows = model_input(train.withColumn(by, F.col(by).cast("bigint")), spec, (by,)).dropna(subset=[spec.target, *spec.features])
+    columns = design_columns(spec, category_levels(rows, spec.categorical))
+    names = [f"x{k}" for k in range(len(columns))]
+    designed = rows.select(by, *[F.expr(sql).cast("double").alias(n) for n, sql in zip(names, columns.values(), strict=True)], spec.target)
+    return chunked_least_squares(designed, names, spec.target, by), columns
+
+
+def chunk_scores(test: DataFrame, spec: ModelSpec, fits: DataFrame, columns: dict[str, str], by: str = "chunk_id") -> DataFrame:
+    """Metrics of each chunk's fit on the chunk's own hold-out rows."""
+    rows = model_input(test.withColumn(by, F.col(by).cast("bigint")), spec, (by,)).dropna(subset=[spec.target, *spec.features])
+    names = [f"x{k}" for k in range(len(columns))]
+    designed = rows.select("*", *[F.expr(sql).cast("double").alias(n) for n, sql in zip(names, columns.values(), strict=True)])
+    return stats.regression_metrics(score_by_chunk(designed, fits, names, by), spec.target, by=(by,))
+
+
+def store_chunk_models(fits: DataFrame, scores: DataFrame, columns: dict[str, str], path: str, by: str = "chunk_id") -> None:
+    """Write the model table: a row per chunk with its coefficients, its design columns and its hold-out metrics.
+
+    A chunk without hold-out rows has no score and is not a candidate.
+    """
+    rows = fits.join(broadcast_if_small(scores.select(by, "rmse", "r2", "mae")), by)
+    names, sql = (F.array(*[F.lit(x) for x in part]) for part in (columns.keys(), columns.values()))
+    rows.withColumns({"names": names, "columns": sql}).write.mode("overwrite").parquet(path)
+
+
+def kept_model(spark: SparkSession, path: str, by: str = "chunk_id") -> tuple[int, LinearFit]:
+    """The chunk with the lowest error in a model table, the earliest of equals, and its model as one expression."""
+    table = spark.read.parquet(path).filter(F.col("rmse").isNotNull() & ~F.isnan("rmse"))
+    best = stats.best_score(table, by).first()
+    if best is None or best[by] is None:
+        raise ValueError("no chunk of the model table has a score")
+    return best[by], LinearFit(tuple(best["names"]), tuple(best["columns"]), {"linear": (best["intercept"], np.array(best["coefficients"]))})
+
+
 # Hyper-parameters ------------------------------------------------------------------------
 
 
@@ -502,3 +557,45 @@ def prediction_cache(rows: DataFrame, features: list[str], score, output: str) -
     for part in same[1:]:
         condition = condition & part
     return rows.join(scored, condition, "left").drop(*[f"_k_{f}" for f in features])
+
+
+class ScoreTable:
+    """Predictions of one version of a model by feature vector, kept from run to run.
+
+    A version is a directory; a run appends the vectors it scored. Vectors are told apart by value, nulls included.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, version: str, features: list[str], output: str):
+        self.spark, self.folder, self.features, self.output = spark, f"{path.rstrip('/')}/version={version}", list(features), output
+
+    def stored(self) -> DataFrame | None:
+        return self.spark.read.parquet(self.folder) if path_exists(self.spark, self.folder) else None
+
+    def _same(self, left: DataFrame, right: DataFrame):
+        """A hash of the vector finds it, the values decide."""
+        condition = left["_vector"] == right["_vector"]
+        for f in self.features:
+            condition = condition & left[f].eqNullSafe(right[f"_k_{f}"])
+        return condition
+
+    def _hashed(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("_vector", F.xxhash64(*self.features))
+
+    def scored(self, rows: DataFrame, score) -> tuple[DataFrame, int]:
+        """Rows with the prediction of their vector, and how many vectors had to be scored for it.
+
+        ``score`` maps distinct vectors to vectors with a prediction. What it returns is stored before it is used, so a run that breaks
+        off leaves scores that the next one finds.
+        """
+        distinct = self._hashed(rows.select(*self.features).distinct())
+        known = self.stored()
+        if known is not None:
+            distinct = distinct.join(known, self._same(distinct, known), "left_anti")
+        unseen = materialize(distinct.select(*self.features), "unseen")
+        n = unseen.count()
+        if n or known is None:
+            found = self._hashed(score(unseen))
+            keys = [F.col(f).alias(f"_k_{f}") for f in self.features]
+            found.select("_vector", *keys, self.output).write.mode("append").parquet(self.folder)
+        hashed, known = self._hashed(rows), self.stored()
+        return hashed.join(known, self._same(hashed, known), "left").select(*rows.columns, self.output), n

@@ -238,3 +238,69 @@ def test_score_by_chunk_keeps_rows_without_a_fit(spark):
     fits = spark.createDataFrame([(1, 1.0, [2.0])], "chunk_id bigint, intercept double, coefficients array<double>")
     scored = {r["chunk_id"]: r["prediction"] for r in models.score_by_chunk(rows, fits, ["x"]).collect()}
     assert scored == {1: 5.0, 2: None}
+
+
+def test_forest_folds_read_their_rows_once(spark, sample, tmp_path):
+    """All folds are fitted on one kept input: the table is scanned once, however many folds there are."""
+    rows, _ = sample
+    path = str(tmp_path / "rows")
+    sequence.kfold_assign(rows, ["i"], 3).repartition(2).write.parquet(path)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    scan = spark.read.parquet(path)
+    small = {**models.FOREST, "n_estimators": 3, "max_depth": 3, "max_samples": 0.9}
+    found = {r["fold"]: r for r in models.cross_validate(scan.mapInArrow(counted, scan.schema), SPEC, "randomforest_regressor", params=small).collect()}
+    assert read.value == scan.count() and len(found) == 3
+    for number, row in found.items():
+        own = scan.filter(F.col("fold") == number)
+        model = models.build_pipeline(SPEC, small).fit(models.model_input(scan.filter(F.col("fold") != number), SPEC))
+        assert row["n"] == own.count()
+        assert row["rmse"] == pytest.approx(models.holdout_evaluate(model, own, SPEC).first()["rmse"], rel=0.05)
+
+
+def test_best_chunk_is_kept(spark, sample, tmp_path):
+    rows, _ = sample
+    rows = rows.withColumns({"chunk_id": F.col("i") % 4, "held": F.floor(F.col("i") / 4) % 3 == 0})
+    # Labels of one chunk follow its features exactly, up to a little noise in another.
+    noise = F.pmod(F.xxhash64("i"), F.lit(100)) / 100
+    exact = F.when(F.col("chunk_id") == 2, F.col("a") * 3 + F.col("b") + 1).otherwise(F.col("y") + 5 * noise)
+    rows = rows.withColumn("y", exact)
+    train, test = rows.filter("not held"), rows.filter("held and chunk_id <> 3")
+    fits, columns = models.chunk_fits(train, SPEC)
+    scores = models.chunk_scores(test, SPEC, fits, columns)
+    assert {r["chunk_id"] for r in scores.collect()} == {0, 1, 2}
+    models.store_chunk_models(fits, scores, columns, str(tmp_path / "models"))
+    chunk, fit = models.kept_model(spark, str(tmp_path / "models"))
+    assert chunk == 2 and fit.names == tuple(columns)
+    scored = models.predict(fit.model(), models.model_input(rows.filter("chunk_id = 2"), SPEC)).collect()
+    assert np.allclose([r["prediction"] for r in scored], [r["y"] for r in scored], atol=1e-6)
+    with pytest.raises(ValueError):
+        models.store_chunk_models(fits, scores.limit(0), columns, str(tmp_path / "none"))
+        models.kept_model(spark, str(tmp_path / "none"))
+
+
+def test_score_table_over_runs(spark, tmp_path):
+    seen = []
+
+    def score(distinct):
+        seen.append(sorted(tuple(r) for r in distinct.fillna(-1).collect()))
+        return distinct.withColumn("p", F.coalesce("x", F.lit(100.0)) + F.coalesce("k", F.lit(1000)))
+
+    rows = [(1, 1.0, 2), (2, 1.0, 2), (3, None, 2), (4, 1.5, None)]
+    more = [(5, None, 2), (6, 1.0, 3), (7, 1.0, 2), (8, 1.5, None), (9, None, None)]
+    schema = "i int, x double, k int"
+    table = models.ScoreTable(spark, str(tmp_path), "a", ["x", "k"], "p")
+    found, n = table.scored(spark.createDataFrame(rows, schema), score)
+    assert n == 3 and {r["i"]: r["p"] for r in found.collect()} == {1: 3.0, 2: 3.0, 3: 102.0, 4: 1001.5}
+    found, n = models.ScoreTable(spark, str(tmp_path), "a", ["x", "k"], "p").scored(spark.createDataFrame(more, schema), score)
+    assert n == 2 and {r["i"]: r["p"] for r in found.collect()} == {5: 102.0, 6: 4.0, 7: 3.0, 8: 1001.5, 9: 1100.0}
+    assert seen == [[(-1.0, 2), (1.0, 2), (1.5, -1)], [(-1.0, -1), (1.0, 3)]]
+    assert table.scored(spark.createDataFrame(more, schema), score)[1] == 0 and len(seen) == 2
+    # Another version of the model starts anew.
+    assert models.ScoreTable(spark, str(tmp_path), "b", ["x", "k"], "p").scored(spark.createDataFrame([], schema), score)[1] == 0
+    assert len(seen) == 3 and seen[2] == []
