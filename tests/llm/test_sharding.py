@@ -64,3 +64,45 @@ def test_odd_rows(odd_docs, odd_rows, no_docs):
     placed = sharding.with_shard(odd_docs)
     assert placed.count() == len(odd_rows) and placed.columns == [*odd_docs.columns, "_virtual_slot", "_shard"]
     assert sharding.shard_records(no_docs).count() == 0 and sharding.with_shard(no_docs).count() == 0
+
+
+def equal_records(spark):
+    """Half of the rows are one record without an id, a tenth are another one with an id."""
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 2 == 0, None).when(F.col("id") % 10 == 1, 7).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 2 == 0, "one text without an id for half").when(F.col("id") % 10 == 1, "seven").otherwise(F.concat(F.lit("text "), "id")).alias("text"),
+        (F.col("id") % 3).alias("n"), F.lit("x").alias("pieces"),
+    )
+    return rows.repartition(5)
+
+
+def test_equal_records_are_split(spark):
+    rows = sharding.shard_records(equal_records(spark)).collect()
+    check(rows)
+    assert len(rows) == 20_000
+    load, heavy = [0] * 8, [0] * 8
+    for r in rows:
+        load[r["shard"]] += r["size"]
+        heavy[r["shard"]] += r["doc_id"] is None
+    assert max(load) - min(load) <= max(r["size"] for r in rows)
+    assert min(heavy) > 800 and sum(heavy) == 10_000
+    again = sharding.shard_records(equal_records(spark).repartition(3)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, rows))
+
+
+def test_copies_are_listed_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "SLICE", 7)
+    docs = spark.range(3000).select(F.lit(1).cast("long").alias("doc_id"), F.lit("same").alias("text"))
+    rows = sharding.shard_records(docs.union(docs.limit(0))).collect()
+    check(rows)
+    assert len(rows) == 3000
+    assert max(sum(r["shard"] == s for r in rows) for s in range(8)) - min(sum(r["shard"] == s for r in rows) for s in range(8)) <= 1
+
+
+def test_equal_records_keep_their_columns(spark):
+    docs = equal_records(spark)
+    placed = sharding.with_shard(docs)
+    assert placed.columns == [*docs.columns, "virtual_slot", "shard"]
+    assert sorted(map(str, placed.select(docs.columns).collect())) == sorted(map(str, docs.collect()))
+    load = [r["b"] for r in placed.groupBy("shard").agg(F.sum(F.octet_length("text") + 1).alias("b")).collect()]
+    assert len(load) == 8 and max(load) < 1.05 * min(load)
