@@ -1,7 +1,7 @@
 """URL filter: host-suffix and path-prefix expressions, matched by hashes.
 
-A rule is a host and a path. A URL is expanded into the expressions that rules could have for it: every suffix
-of its host at a dot, joined with every prefix of its path of a length that rules have. Expressions and
+A rule is a host and a path. A URL is expanded into the expressions that rules could have for it: suffixes of its host of as many
+labels as a rule has, joined with prefixes of its path of as many characters as that rule's path has. Expressions and
 rules meet in an equi-join on a short hash prefix; whole digests confirm, and the longest rule wins. Only
 DataFrame functions touch the URLs.
 """
@@ -26,6 +26,9 @@ RULES = (
 #: Labels of hosts that are blocked where no rule fits, as whole words between dots and hyphens.
 BLOCKED_WORDS = ("ads", "adult", "bets", "casino", "cheap", "pills", "porn", "spam", "track", "warez", "xxx")
 
+#: Shapes (labels of the host, characters of the path) that the rules of one run may have; each is an expression per URL.
+MOST_SHAPES = 10_000
+
 #: Hexadecimal digits of the short hash.
 SHORT = 8
 
@@ -47,14 +50,23 @@ def _rest(url: Column) -> Column:
     return F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise(F.lit(""))
 
 
-def expressions(host: Column, path: Column, lengths: list[int]) -> Column:
-    """All host suffixes at dots, joined with the path prefixes of the given lengths."""
-    labels = F.split(host, r"\.", -1)
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    prefixes = F.transform(
-        F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length(path)), lambda n: F.substring(path, F.lit(1), n)
+def labels_of(host: Column) -> Column:
+    return F.size(F.split(host, r"\.", -1))
+
+
+def expressions(host: Column, path: Column, shapes: list[tuple[int, int]]) -> Column:
+    """The expressions of a URL for rules of the given shapes: labels of the host, characters of the path.
+
+    A host of any number of labels costs one look at it per shape.
+    """
+    known = F.array(*[F.struct(F.lit(k).alias("labels"), F.lit(n).alias("length")) for k, n in shapes])
+    fitting = F.filter(known, lambda s: (s["labels"] <= labels_of(host)) & (s["length"] <= F.length(path)))
+    pairs = F.transform(
+        fitting,
+        lambda s: F.struct(
+            F.call_function("substring_index", host, F.lit("."), -s["labels"]).alias("host"), F.substring(path, F.lit(1), s["length"]).alias("path")
+        ),
     )
-    pairs = F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.struct(s.alias("host"), p.alias("path")))))
     return F.when(host == "", F.array().cast("array<struct<host: string, path: string>>")).otherwise(pairs)
 
 
@@ -91,11 +103,14 @@ def judge(pages: DataFrame, rules: DataFrame, id_column: str = "page_id", url_co
                 (F.length("host") + F.length("path")).alias("length"), F.length("host").alias("host_length"),
                 F.col("verdict"), F.concat("host", "path").alias("rule"), F.length("path").alias("path_length"),
             ).alias("found"),
+            labels_of(F.col("host")).alias("labels"),
         ),
         "rules",
     )
-    lengths = [r[0] for r in stored.select("found.path_length").distinct().orderBy("path_length").collect()] or [0]
-    asked = rows.withColumn("asked", F.explode_outer(expressions(F.col("host"), F.col("path"), lengths)))
+    shapes = stored.select("labels", "found.path_length").distinct().orderBy("labels", "path_length").limit(MOST_SHAPES + 1).collect()
+    if len(shapes) > MOST_SHAPES:
+        raise ValueError(f"rules have more than {MOST_SHAPES} shapes; judge them in several runs")
+    asked = rows.withColumn("asked", F.explode_outer(expressions(F.col("host"), F.col("path"), [tuple(r) for r in shapes] or [(1, 0)])))
     asked = asked.withColumn("short", short(F.col("asked.host"), F.col("asked.path")))
     met = asked.join(hint_small(stored), "short", "left")
     sure = F.when(F.col("digest") == digest(F.col("asked.host"), F.col("asked.path")), F.col("found"))

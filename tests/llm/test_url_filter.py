@@ -66,3 +66,23 @@ def test_repeated_rows_null_ids_and_no_rows(spark):
 def test_no_python_runs_on_the_main_path(spark, sf_dir):
     plan = url_filter.op5_url_filter(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in itertools.chain(("Python", "Pandas", "Arrow"), ("Cartesian", "NestedLoop")))
+
+
+def test_very_long_hosts(spark):
+    """A host is looked at once per shape of the rules, not once per label."""
+    rules = [("block", "com", "/"), ("allow", "b.com", "/x"), ("block", ".".join("c" * 50), ""), *url_filter.RULES]
+    urls = ["http://" + "a." * 40_000 + "b.com/x", "http://" + "c." * 40_000 + "c", "http://" + "x" * 200_000 + ".org/", "http://" + "." * 30_000 + "/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    found = {r["page_id"]: tuple(r)[1:] for r in url_filter.judge(pages, url_filter.rules_table(spark, rules)).collect()}
+    assert found == {i: brute(u, rules) for i, u in enumerate(urls)}
+
+
+def test_shapes_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "MOST_SHAPES", 3)
+    pages = spark.createDataFrame([(1, "http://x.com/")], "page_id int, url string")
+    try:
+        url_filter.judge(pages, url_filter.rules_table(spark, [("block", "com", "/" * n) for n in range(5)]))
+    except ValueError as error:
+        assert "shapes" in str(error)
+    else:
+        raise AssertionError("rules of too many shapes were taken")
