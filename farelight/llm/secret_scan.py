@@ -30,7 +30,10 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 #: Characters of a window, and bits per character it needs, by class of the candidate.
 WINDOW = 20
-THRESHOLDS = {"hex": 3.0, "mixed": 3.6, "letters": 4.15}
+THRESHOLDS = {"hex": 3.0, "mixed": 3.6, "letters": 3.62, "digits": 2.8}
+
+#: Classes whose windows may not reach over a separator: names made of words are as varied as chance.
+WHOLE_PIECES = ("letters", "digits")
 
 #: Windows that overlap one of these parts, in lower case, are no secrets.
 ALLOWED = (
@@ -52,11 +55,11 @@ _WEIGHT = [0.0] + [n * log2(n) for n in range(1, WINDOW + 1)]
 
 
 def character_class(text: str) -> str | None:
-    """hex: digits and letters a to f of one case; mixed: letters and digits, or both cases; letters; or none."""
+    """hex: digits and letters a to f of one case; mixed: letters and digits, or both cases; letters; digits; or none."""
     digits = any(c.isdigit() for c in text)
     letters = [c for c in text if c.isalpha()]
     if not letters:
-        return None
+        return "digits" if digits else None
     one_case = all(c.islower() for c in letters) or all(c.isupper() for c in letters)
     if digits and one_case and all(c in "abcdefABCDEF" for c in letters) and len(letters) + sum(c.isdigit() for c in text) == len(text):
         return "hex"
@@ -96,13 +99,22 @@ def blocked_windows(text: str, window: int = WINDOW, allowed=ALLOWED) -> bytearr
     return out
 
 
-def hex_windows(text: str, window: int = WINDOW) -> bytearray:
-    """Per start of a window, whether the window by itself is of class hex."""
+def own_windows(text: str, window: int = WINDOW) -> bytearray:
+    """Per start of a window its own class where that needs fewer bits: 1 for hex, 2 for digits only, else 0.
+
+    Hex has digits and letters a to f of one case. Digits of a window are counted by one character in and one out.
+    """
     out = bytearray(len(text) - window + 1)
     for pattern in _HEX_RUNS:
         for run in pattern.finditer(text):
-            for at in range(run.start(), run.end() - window + 1):
-                out[at] |= character_class(text[at : at + window]) == "hex"
+            digits = 0
+            for at in range(run.start(), run.end()):
+                digits += text[at].isdigit()
+                begin = at - window + 1
+                if begin > run.start():
+                    digits -= text[begin - 1].isdigit()
+                if begin >= run.start() and digits:
+                    out[begin] = 2 if digits == window else 1
     return out
 
 
@@ -116,11 +128,16 @@ def entropy_spans(text: str, window: int = WINDOW, thresholds=THRESHOLDS, allowe
     if kind is None or len(text) < window:
         return []
     blocked = blocked_windows(text, window, allowed)
+    if kind in WHOLE_PIECES:
+        blocked = bytearray(len(text) - window + 1) if blocked is None else blocked
+        for at in (k for k, c in enumerate(text) if c in SEPARATORS):
+            first, last = max(at - window + 1, 0), min(at + 1, len(blocked))
+            blocked[first:last] = b"\1" * max(last - first, 0)
     # The entropy is log2(window) - (sum of n log2 n over the counts) / window.
     most = (log2(window) - thresholds[kind]) * window + 1e-9
-    # Windows of a candidate of letters have letters only, so hex windows of mixed ones are all that need fewer bits.
-    hexed = hex_windows(text, window) if kind == "mixed" else None
-    most_hex = (log2(window) - min(thresholds["hex"], thresholds[kind])) * window + 1e-9
+    # Windows of a candidate of letters have letters only, so only those of mixed and hex ones can need fewer bits.
+    own = own_windows(text, window) if kind in ("mixed", "hex") else None
+    most_own = [(log2(window) - min(thresholds[k], thresholds[kind])) * window + 1e-9 for k in (kind, "hex", "digits")]
     weight = _WEIGHT if window <= WINDOW else [0.0] + [n * log2(n) for n in range(1, window + 1)]
     counts: dict[str, int] = {}
     total, first, last = 0.0, None, None
@@ -141,7 +158,7 @@ def entropy_spans(text: str, window: int = WINDOW, thresholds=THRESHOLDS, allowe
             if first is not None:
                 out.append((first, last))
                 first = None
-        elif total <= most or (hexed is not None and hexed[begin] and total <= most_hex):
+        elif total <= (most if own is None else most_own[own[begin]]):
             first = begin if first is None else first
             last = at + 1
     return out if first is None else [*out, (first, last)]
