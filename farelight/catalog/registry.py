@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from farelight.session import prepare
+from farelight.session import prepare, release_kept
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -198,6 +198,8 @@ def query(name: str, sql: str | None = None, reads: tuple[str, ...] = ()):
 
     def register(function: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # What earlier queries kept is not needed any more; a frame still in use is evaluated again.
+            release_kept()
             return function(prepare(spark), sf_dir)
 
         QUERIES[name] = run
@@ -213,6 +215,7 @@ def fitted_query(name: str):
 
     def register(function: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            release_kept()
             return function(prepare(spark), sf_dir)
 
         FITTED[name] = run
