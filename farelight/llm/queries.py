@@ -17,7 +17,7 @@ from farelight.llm.quality_rules import op10_quality_classifier
 from farelight.llm.secret_scan import op7_secret_scan
 from farelight.llm.setsketch import OP11_SQL, op11_setsketch_dedup
 from farelight.llm.sharding import op9_sharding
-from farelight.llm.spelling import op13_spelling_variants
+from farelight.llm.spelling import OP13_SQL, op13_spelling_variants
 from farelight.llm.url_filter import OP5_SQL, op5_url_filter
 
 _ALL = (
@@ -46,4 +46,5 @@ ORACLES: dict[str, str] = {
     "op6_benchmark_decontamination": OP6_SQL,
     "op11_setsketch_dedup": OP11_SQL,
     "op12_fill_in_middle": OP12_SQL,
+    "op13_spelling_variants": OP13_SQL,
 }

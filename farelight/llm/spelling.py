@@ -218,3 +218,44 @@ def op13_spelling_variants(spark, sf_dir):
     """Words of all documents with their near words, forms and roots."""
     found = spelling_groups(vocabulary(documents(spark, sf_dir)))
     return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+OP13_SQL = """
+    WITH RECURSIVE runs AS (
+      SELECT doc_id, unnest(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]{6,}')) AS run
+      FROM documents),
+    counted AS (SELECT doc_id, run, count(*) AS c FROM runs GROUP BY ALL),
+    -- CRC-32 of the UTF-8 bytes, bit by bit; no character here is beyond two bytes.
+    spelled AS (
+      SELECT run, c, flatten(list_transform(string_split(doc_id || ':' || run, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT]
+               ELSE [192 + unicode(x)::BIGINT // 64, 128 + unicode(x)::BIGINT % 64] END)) AS bytes
+      FROM counted),
+    hashed AS (
+      SELECT run, c, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda s, b:
+               list_reduce(list_prepend(xor(s, b), range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS h
+      FROM spelled),
+    words AS (
+      SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, c
+      FROM hashed),
+    vocabulary AS (SELECT word, sum(c)::BIGINT AS n FROM words WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+    places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocabulary),
+    masked AS (SELECT word, n, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS mask FROM places),
+    shorter AS (SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS short FROM places),
+    near AS (
+      SELECT a.word, b.word AS other, b.n AS other_n FROM masked a JOIN masked b ON a.mask = b.mask AND a.word <> b.word
+      UNION ALL SELECT s.word, v.word, v.n FROM shorter s JOIN vocabulary v ON s.short = v.word
+      UNION ALL SELECT v.word, s.word, s.n FROM shorter s JOIN vocabulary v ON s.short = v.word),
+    ranked AS (
+      SELECT word, other, other_n, count(*) OVER (PARTITION BY word) AS n_near,
+             row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS r
+      FROM near),
+    formed AS (
+      SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * v.n THEN other END AS form,
+             CASE WHEN other_n >= 5 * v.n THEN other_n END AS form_n
+      FROM vocabulary v LEFT JOIN ranked k ON k.word = v.word AND r = 1),
+    ways AS (
+      SELECT word, word AS there, 0 AS step FROM formed
+      UNION ALL SELECT ways.word, f.form, step + 1 FROM ways JOIN formed f ON f.word = ways.there WHERE f.form IS NOT NULL)
+    SELECT word, form, root, n, n_near, form_n
+    FROM formed JOIN (SELECT word, arg_max(there, step) AS root FROM ways GROUP BY word) USING (word)"""
