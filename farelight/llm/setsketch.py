@@ -307,34 +307,38 @@ class _Corpus:
         self.docs, self.nodes, self.width, self.percent = docs, nodes, width, percent
 
     def texts(self, wanted: DataFrame) -> DataFrame:
-        """A written table of the text of one row of each wanted node."""
-        wanted = materialize(wanted.distinct().join(self.nodes.select("node", "_id", "_hash"), "node"), "wanted")
+        """A written table of the text of one row of each wanted node; ``wanted`` is read from written tables and may repeat nodes."""
+        wanted = materialize(self.nodes.select("node", "_id", "_hash").join(hint_small(wanted), "node", "left_semi"), "wanted")
         found = self.docs.alias("d").join(hint_small(wanted).alias("w"), same("d", "w", "_id", "_hash"))
         return materialize(found.groupBy("w.node").agg(F.min("d._text").alias("text")), "texts")
 
-    def confirm(self, pairs: DataFrame) -> DataFrame:
-        """The links among written pairs (a, b)."""
-        texts = self.texts(pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
-        found = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
-            texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
-        )
-        return materialize(batch_map(found, _confirmed(self.width, self.percent), "a binary, b binary"), "links")
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The links among distinct pairs (a, b): by sketches first, then by whole sets."""
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that may be links by their sketches, among distinct pairs (a, b)."""
         sides = {
             s: self.nodes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
             for s in "ab"
         }
         pairs = hint_small(materialize(pairs, "pairs"))
         found = pairs.join(sides["a"], "a").join(sides["b"], "b")
-        return self.confirm(materialize(batch_map(found, _likely_pairs(self.percent), "a binary, b binary"), "likely"))
+        return materialize(batch_map(found, _likely_pairs(self.percent), "a binary, b binary"), "likely")
+
+    def confirm(self, pairs: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+        """The links among written pairs (a, b), by whole sets; ``texts`` has those of their nodes if they are written already."""
+        texts = self.texts(_both(pairs)) if texts is None else texts
+        found = hint_small(pairs).join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
+            texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
+        )
+        return materialize(batch_map(found, _confirmed(self.width, self.percent), "a binary, b binary"), "links")
+
+
+def _both(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
 
 
-def _bucket_blocks(hot: DataFrame, corpus: _Corpus) -> DataFrame:
-    """Links between classes inside of large buckets; ``hot`` has rows (key, band, node, label, minor).
+def _bucket_blocks(hot: DataFrame, likely: DataFrame, corpus: _Corpus) -> DataFrame:
+    """Links between classes inside of large buckets and among ``likely`` pairs; ``hot`` has rows (key, band, node, label, minor).
 
-    Blocks of nodes that are all in the largest class of their bucket do not meet.
+    Blocks of nodes that are all in the largest class of their bucket do not meet. All texts are fetched once.
     """
     side = ["key", "minor"]
     counted = hot.groupBy(*side).agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("parts"))
@@ -349,15 +353,17 @@ def _bucket_blocks(hot: DataFrame, corpus: _Corpus) -> DataFrame:
     rows = materialize(split.join(hint_small(materialize(meet, "meet")), "block").select("pair", "node", "label", "band"), "block_rows")
     # Blocks are few bytes and much work: they are dealt out to all tasks, not by their size.
     tasks = int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sketched = rows.join(corpus.nodes.select("node", "n", "sketch"), "node").repartition(tasks, "pair")
+    sketched = hint_small(rows).join(corpus.nodes.select("node", "n", "sketch"), "node").repartition(tasks, "pair")
     found = sketched.groupBy("pair").applyInArrow(_block_candidates(corpus.percent), "pair long, a binary, b binary")
     found = materialize(found, "block_candidates")
-    links = corpus.confirm(materialize(found.filter("a is not null").select("a", "b").distinct(), "likely"))
+    pairs = likely.union(found.filter("a is not null").select("a", "b"))
     dense = materialize(found.filter("a is null").select("pair"), "dense")
     if dense.isEmpty():
-        return links
+        return corpus.confirm(pairs)
     rows = materialize(rows.join(hint_small(dense), "pair"), "dense_rows")
-    whole = rows.join(corpus.nodes.select("node", "n", "sketch"), "node").join(corpus.texts(rows.select("node")), "node")
+    texts = corpus.texts(_both(pairs).union(rows.select("node")))
+    links = corpus.confirm(pairs, texts)
+    whole = rows.join(corpus.nodes.select("node", "n", "sketch"), "node").join(texts, "node")
     inside = whole.repartition(tasks, "pair").groupBy("pair").applyInArrow(_block_links(corpus.width, corpus.percent), "a binary, b binary")
     return links.union(materialize(inside, "block_links"))
 
@@ -396,7 +402,7 @@ def near_duplicates(
     ones = held.join(spread, "node").groupBy("key").agg(F.max(F.struct("spread", "node")).alias("one"))
     ones = hint_small(materialize(ones.select("key", F.col("one.node").alias("one")), "ones"))
     stars = held.join(ones, "key").filter("node <> one").select(F.least("one", "node").alias("a"), F.greatest("one", "node").alias("b"))
-    links = corpus.links(stars.distinct())
+    links = corpus.confirm(corpus.likely(stars.distinct()))
     labels = components(links)
 
     classed = held.join(hint_small(labels), "node", "left")
@@ -407,21 +413,22 @@ def near_duplicates(
     mixed = classed.join(largest, "key").select("key", "band", "node", "label", "k", (F.col("label") != F.col("top")).alias("minor"))
     mixed = materialize(mixed, "mixed")
     few = mixed.filter(f"k <= {HOT}")
-    met = few.filter("minor").select("key", F.col("node").alias("a"), F.col("label").alias("label_a")).join(
-        few.select("key", F.col("node").alias("b"), "label", "minor"), "key"
-    ).filter("label_a <> label and (not minor or a < b)")
-    more = corpus.links(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    minor = hint_small(few.filter("minor").select("key", F.col("node").alias("a"), F.col("label").alias("label_a")))
+    met = minor.join(few.select("key", F.col("node").alias("b"), "label", "minor"), "key")
+    met = met.filter("label_a <> label and (not minor or a < b)")
+    likely = corpus.likely(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     hot = materialize(mixed.filter(f"k > {HOT}"), "hot")
-    if not hot.isEmpty():
-        more = more.union(_bucket_blocks(hot, corpus))
+    more = corpus.confirm(likely) if hot.isEmpty() else _bucket_blocks(hot, likely, corpus)
     if not more.isEmpty():
         labels = components(links.union(more))
 
-    reached = nodes.select("node", "_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = materialize(reached.groupBy("label").agg(F.min("_id").alias("component_id")), "least")
-    named = materialize(reached.select("node", "label").join(least, "label").select("node", "component_id"), "named")
-    rows = signed.select("_id", "n", "node").join(named, "node", "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("_id"))
+    labels = hint_small(labels)
+    least = nodes.select("node", "_id").join(labels, "node").groupBy("label").agg(F.min("_id").alias("component_id"))
+    least = hint_small(materialize(least, "least"))
+    named = hint_small(materialize(labels.join(least, "label").select("node", "component_id"), "named"))
+    # A node without links is a component of its own.
+    rows = signed.select("_id", "n", "node").join(nodes.select("node", F.col("_id").alias("first")), "node", "left").join(named, "node", "left")
+    component = F.when(F.col("n") > 0, F.coalesce("component_id", "first")).otherwise(F.col("_id"))
     return rows.select(
         F.col("_id").alias(id_column),
         F.col("n").alias("n_shingles"),

@@ -67,6 +67,23 @@ def test_components_of_all_pairs(spark, monkeypatch, hot, block, loose):
     assert ordered(near_duplicates(docs, 5, 85).collect()) == ordered(brute(rows, 5, 85))
 
 
+def test_second_round_fetches_texts_once(spark, monkeypatch):
+    """Pairs of small buckets, of blocks and of dense blocks share one table of texts and are confirmed together."""
+    written = []
+
+    def write(df, name, write=setsketch.materialize):
+        written.append(name)
+        return write(df, name)
+
+    for name, value in (("HOT", 2), ("BLOCK", 8), ("LOOSE", 0.01), ("materialize", write)):
+        monkeypatch.setattr(setsketch, name, value)
+    rows = list(enumerate(near(7)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert ordered(near_duplicates(docs, 5, 85).collect()) == ordered(brute(rows, 5, 85))
+    assert "block_links" in written
+    assert written.count("texts") == written.count("links") == 2
+
+
 def test_odd_rows(spark, odd_docs, odd_rows, no_docs):
     rows = [r[:2] for r in odd_rows]
     assert ordered(near_duplicates(odd_docs).collect()) == ordered(brute(rows, 5, 80))
