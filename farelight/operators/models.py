@@ -481,7 +481,7 @@ def kept_model(spark: SparkSession, path: str, by: str = "chunk_id") -> tuple[in
 
 @dataclass(frozen=True)
 class GrowthRule:
-    """How a hyper-parameter grows: whole numbers drop the fraction; beyond ``top`` it becomes ``beyond``."""
+    """How a hyper-parameter grows: whole numbers drop the fraction; beyond ``top`` it becomes ``beyond``, beyond all doubles infinite."""
 
     whole: bool = False
     top: float = math.inf
@@ -491,7 +491,7 @@ class GrowthRule:
         larger = value * factor
         if larger > self.top:
             return self.beyond
-        return math.trunc(larger) if self.whole else larger
+        return math.trunc(larger) if self.whole and math.isfinite(larger) else larger
 
 
 # A share of the rows starts again from a half beyond all rows; depth and the share of the absolute penalty stay at

@@ -179,6 +179,12 @@ def test_growth_truncates_and_stays_in_bounds():
         models.hyperparameter_growth({"max_samples": 1.2}, 0)
 
 
+def test_growth_goes_on_beyond_all_doubles():
+    series = models.hyperparameter_growth(models.FOREST, 6000)
+    assert series[1000]["n_estimators"] == int(series[999]["n_estimators"] * 1.15)
+    assert series[-1]["n_estimators"] == float("inf") and series[-1]["max_depth"] == models.DEEPEST and 0.25 < series[-1]["max_samples"] <= 1
+
+
 def test_ensemble_and_cache(spark):
     rows = spark.createDataFrame([(1, 1.0), (2, 1.0), (3, 2.5), (4, None)], "i int, x double")
     members = [SQLTransformer(statement=f"SELECT *, {e} AS prediction FROM __THIS__") for e in ("x", "2 * x", "x + 1")]
