@@ -159,3 +159,25 @@ def test_split_arrays_are_read_as_whole_ones(spark, tmp_path, name):
             assert tasks > 3
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+def test_array_files_are_written_row_by_row(spark, tmp_path, compression):
+    """A file is one array, and no row of the writer holds more than one object of it."""
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("fare_amount"), F.when(F.col("id") % 7 > 0, "x").alias("extra"))
+    path = str(tmp_path / "a")
+    sinks.json_array_sink(rows, path, F.pmod(F.col("fare_amount").cast("int"), F.lit(3)), one_per_file=True, compression=compression)
+    lines = [r["value"] for r in spark.read.text(path).collect()]
+    assert len(lines) == 1000
+    files = [json.loads(r["value"]) for r in spark.read.text(path, wholetext=True).collect()]
+    assert sorted(len(f) for f in files) == [333, 333, 334] and all(r.keys() == {"fare_amount", "extra"} for f in files for r in f)
+    glob = "*.txt" if compression == "none" else "*.txt.gz"
+    for above in (None, 100):
+        found = landing.array_scan(spark, path, ("fare_amount", "extra"), glob, above)
+        assert sorted(map(tuple, found.select("fare_amount", "extra").collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
+
+
+def test_empty_array_table(spark, tmp_path):
+    rows = spark.createDataFrame([], "fare_amount string")
+    sinks.json_array_sink(rows, str(tmp_path / "a"), F.lit(1), one_per_file=True)
+    assert landing.array_scan(spark, str(tmp_path / "a"), ("fare_amount",), "*.txt").count() == 0
