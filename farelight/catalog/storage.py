@@ -22,6 +22,17 @@ UNUSED = (
 )
 
 
+# Landing files are packed as text takes a multiple of the tables it is made of; a packed file is read by one task, so it is kept small.
+LANDED, ROWS_PER_LANDED = "*.json.gz", 500_000
+
+# Trips of an array that is read by one task, and of one that is cut.
+ROWS_PER_ARRAY, ROWS_PER_LARGE_ARRAY = 25_000, 1_000_000
+
+
+def _write_lines(rows, path: str) -> None:
+    rows.drop("batch_id").write.option("compression", "gzip").option("maxRecordsPerFile", ROWS_PER_LANDED).json(path)
+
+
 def _write_landing(spark, sf_dir, width: int = 18, by_batch: bool = False):
     """Raw trips as JSON lines with ``width`` columns; ``trip_key`` travels in ``vendorid``."""
     path = work_path(spark, "landing")
@@ -30,10 +41,20 @@ def _write_landing(spark, sf_dir, width: int = 18, by_batch: bool = False):
     rows = rows.withColumns({"vendorid": F.col("trip_key"), **extra}).drop("trip_key")
     if by_batch:
         narrow = rows.drop(UNUSED[-1])
-        rows.filter("batch_id <> 7").drop("batch_id").write.json(f"{path}/wide")
-        narrow.filter("batch_id = 7").drop("batch_id").write.json(f"{path}/narrow")
+        _write_lines(rows.filter("batch_id <> 7"), f"{path}/wide")
+        _write_lines(narrow.filter("batch_id = 7"), f"{path}/narrow")
         return [f"{path}/wide", f"{path}/narrow"]
-    rows.drop("batch_id").write.json(path)
+    _write_lines(rows, path)
+    return path
+
+
+def _write_arrays(spark, sf_dir, files: int, most: int, compression: str = "none") -> str:
+    """Raw trips in at least so many files of one array, more where arrays would have over ``most`` trips on average."""
+    path = work_path(spark, "arrays")
+    extra = {name: F.lit("0") for name in UNUSED[1:8]}
+    rows = views.raw_trips(spark, sf_dir).withColumns({"vendorid": F.col("trip_key"), **extra}).drop("trip_key", "batch_id")
+    files = max(files, -(-views.trips(spark, sf_dir).count() // most))
+    sinks.json_array_sink(rows, path, F.pmod(F.xxhash64("vendorid"), F.lit(files)), one_per_file=True, compression=compression)
     return path
 
 
@@ -46,39 +67,33 @@ def _typed(raw):
 
 @query("landing_scan", f"SELECT {RAW} FROM trips", ("trips",))
 def landing_scan(spark, sf_dir):
-    return _typed(landing.landing_scan(spark, _write_landing(spark, sf_dir), WITH_KEY, multi_line=False))
+    return _typed(landing.landing_scan(spark, _write_landing(spark, sf_dir), WITH_KEY, multi_line=False, glob=LANDED))
 
 
 @query("landing_scan_arrays", f"SELECT {RAW} FROM trips", ("trips",))
 def landing_scan_arrays(spark, sf_dir):
     """Files that hold one array of documents each."""
-    path = work_path(spark, "arrays")
-    extra = {name: F.lit("0") for name in UNUSED[1:8]}
-    rows = views.raw_trips(spark, sf_dir).withColumns({"vendorid": F.col("trip_key"), **extra}).drop("trip_key", "batch_id")
-    sinks.json_array_sink(rows, path, F.pmod(F.xxhash64("vendorid"), F.lit(64)), one_per_file=True)
-    return _typed(landing.landing_scan(spark, path, WITH_KEY, multi_line=True, glob="*.txt"))
+    path = _write_arrays(spark, sf_dir, 64, ROWS_PER_ARRAY, "gzip")
+    return _typed(landing.landing_scan(spark, path, WITH_KEY, multi_line=True, glob="*.txt.gz"))
 
 
 @query("landing_scan_large_arrays", f"SELECT {RAW} FROM trips", ("trips",))
 def landing_scan_large_arrays(spark, sf_dir):
     """Arrays of many trips, each cut and read by several tasks."""
-    path = work_path(spark, "arrays")
-    extra = {name: F.lit("0") for name in UNUSED[1:8]}
-    rows = views.raw_trips(spark, sf_dir).withColumns({"vendorid": F.col("trip_key"), **extra}).drop("trip_key", "batch_id")
-    sinks.json_array_sink(rows, path, F.pmod(F.xxhash64("vendorid"), F.lit(4)), one_per_file=True)
+    path = _write_arrays(spark, sf_dir, 4, ROWS_PER_LARGE_ARRAY)
     return _typed(landing.array_scan(spark, path, WITH_KEY, "*.txt", split_above=100_000))
 
 
 @query("file_schema_guard", f"SELECT {RAW} FROM trips WHERE batch_id <> 7", ("trips",))
 def file_schema_guard(spark, sf_dir):
     paths = _write_landing(spark, sf_dir, by_batch=True)
-    return _typed(landing.file_schema_guard(spark, paths, WITH_KEY, multi_line=False))
+    return _typed(landing.file_schema_guard(spark, paths, WITH_KEY, multi_line=False, glob=LANDED))
 
 
 @query("multi_file_concat", f"SELECT {RAW} FROM trips", ("trips",))
 def multi_file_concat(spark, sf_dir):
     paths = _write_landing(spark, sf_dir, by_batch=True)
-    frames = [landing.landing_scan(spark, p, WITH_KEY, multi_line=False) for p in paths]
+    frames = [landing.landing_scan(spark, p, WITH_KEY, multi_line=False, glob=LANDED) for p in paths]
     return _typed(landing.multi_file_concat(frames, landing.landing_schema(WITH_KEY), spark))
 
 

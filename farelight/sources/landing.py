@@ -116,7 +116,7 @@ def _document_keys(document: Column) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.transform(objects, F.map_keys))))
 
 
-def file_widths(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
+def file_widths(spark: SparkSession, path: str | list[str], multi_line: bool = True, glob: str = "*.json") -> DataFrame:
     """(batch_id, width): the number of different field names in each file.
 
     Key lists are made distinct before they are gathered, so a file contributes as many
@@ -124,7 +124,7 @@ def file_widths(spark: SparkSession, path: str | list[str], multi_line: bool = T
     """
     documents = (
         spark.read.option("multiLine", multi_line)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", glob)
         .option("singleVariantColumn", "document")
         .json(path)
     )
@@ -145,10 +145,11 @@ def file_schema_guard(
     columns: tuple[str, ...] = LANDING_COLUMNS,
     width: int = RAW_WIDTH,
     multi_line: bool = True,
+    glob: str = "*.json",
 ) -> DataFrame:
     """Landing rows of the files that have exactly ``width`` columns."""
-    complete = file_widths(spark, path, multi_line).filter(F.col("width") == width).select("batch_id")
-    return landing_scan(spark, path, columns, multi_line).join(broadcast_if_small(complete), "batch_id", "left_semi")
+    complete = file_widths(spark, path, multi_line, glob).filter(F.col("width") == width).select("batch_id")
+    return landing_scan(spark, path, columns, multi_line, glob).join(broadcast_if_small(complete), "batch_id", "left_semi")
 
 
 def multi_file_concat(frames: list[DataFrame], schema: T.StructType, spark: SparkSession) -> DataFrame:

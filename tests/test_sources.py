@@ -181,3 +181,24 @@ def test_empty_array_table(spark, tmp_path):
     rows = spark.createDataFrame([], "fare_amount string")
     sinks.json_array_sink(rows, str(tmp_path / "a"), F.lit(1), one_per_file=True)
     assert landing.array_scan(spark, str(tmp_path / "a"), ("fare_amount",), "*.txt").count() == 0
+
+
+def test_landing_files_of_the_queries_are_packed(spark, sf_dir):
+    from farelight.catalog import storage
+
+    wide, narrow = storage._write_landing(spark, sf_dir, by_batch=True)
+    names = [name for path in (wide, narrow) for name in os.listdir(path) if name[0] not in "._"]
+    assert names and all(name.endswith(".json.gz") for name in names)
+    widths = {r["width"] for r in landing.file_widths(spark, [wide, narrow], False, storage.LANDED).collect()}
+    assert widths == {17, 18}
+    kept = landing.file_schema_guard(spark, [wide, narrow], multi_line=False, glob=storage.LANDED)
+    assert kept.count() == landing.landing_scan(spark, wide, multi_line=False, glob=storage.LANDED).count() > 0
+
+
+def test_array_files_follow_the_rows(spark, sf_dir, monkeypatch):
+    from farelight.catalog import storage, views
+
+    n = views.trips(spark, sf_dir).count()
+    for most, files in ((n, 4), (-(-n // 9), 9)):
+        path = storage._write_arrays(spark, sf_dir, 4, most)
+        assert len([name for name in os.listdir(path) if name.startswith("page=")]) == files
