@@ -187,12 +187,16 @@ def shuffled_index(
     many copies a row has, they travel as one; long runs of copies are expanded in slices
     spread over tasks. ``digits`` hex digits of the digest make 16^digits blocks; by default as many
     as keep a block near ``ROWS_PER_BLOCK`` rows or below. The numbers do not depend on it.
+
+    The counted rows are stored, as totals of blocks and numbers are both made of them; the order is that of the 16 bytes of
+    the digest, which is the one of its hex digits.
     """
     columns = df.columns
     if digits is None:
         digits = block_digits(df.count())
-    counted = df.groupBy(*columns).agg(F.count("*").alias("_copies")).withColumn("_digest", digest(keys, seed))
-    block = F.substring("_digest", 1, digits)
+    counted = materialize(df.groupBy(*columns).agg(F.count("*").alias("_copies")), "counted")
+    counted = counted.withColumn("_digest", F.unhex(digest(keys, seed)))
+    block = F.substring(F.hex("_digest"), 1, digits)
     placed = running_before(counted, block, ["_digest", *columns], {"_start": ("sum", F.col("_copies"))})
     end = F.col("_start") + F.col("_copies")
     few = placed.filter(F.col("_copies") <= slice_rows).select(
@@ -222,7 +226,11 @@ def hash_split(df: DataFrame, keys: list[str], train_fraction: float = 0.2, seed
 
 
 def exact_split(indexed: DataFrame, train_fraction: float = 0.2, index: str = "row_index") -> DataFrame:
-    """Add ``is_train`` for the rows up to position floor(fraction * n), that one included."""
+    """Add ``is_train`` for the rows up to position floor(fraction * n), that one included.
+
+    The rows are stored: they are counted and then read, and an index is not worked out twice.
+    """
+    indexed = materialize(indexed, "indexed")
     limit = indexed.agg(F.floor(F.count("*") * F.lit(train_fraction))).scalar()
     return indexed.withColumn("is_train", F.col(index) <= limit)
 

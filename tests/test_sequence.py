@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -158,3 +159,20 @@ def test_hash_split_and_folds(spark):
 def test_page_slice(spark):
     indexed = spark.range(100).withColumnRenamed("id", "row_index")
     assert [r[0] for r in sequence.page_slice(indexed, 10, 3).orderBy("row_index").collect()] == [10, 11, 12]
+
+
+def test_shuffle_is_counted_and_stored_once(spark):
+    """What the numbers are made of is read from a table: the rows are not aggregated again."""
+    rows = spark.range(300).select((F.col("id") % 90).cast("string").alias("k"), F.lit(1.5).alias("v"))
+    indexed = sequence.shuffled_index(rows, ["k"], seed=7)
+    files = indexed.inputFiles()
+    assert files and all("/counted-" in f for f in files)
+    digests = sorted((hashlib.md5(f"{r['k']}|7".encode()).hexdigest(), r["k"]) for r in rows.collect())
+    assert [r["k"] for r in indexed.orderBy("row_index").collect()] == [k for _, k in digests]
+
+
+def test_exact_split_reads_a_stored_index(spark):
+    rows = spark.range(90).select(F.col("id").cast("string").alias("k"))
+    split = sequence.exact_split(sequence.shuffled_index(rows, ["k"]), 0.2)
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and split.filter("is_train").count() == 19
