@@ -185,3 +185,15 @@ def test_indexed_enrichment_of_a_hot_key(spark, tmp_path):
     index.append_unseen(key_frame(spark, ["hot", "2"]), 1)
     assert enrich.indexed_enrich(rows, index, zone_frame(spark), 2).count() == 19999
     assert enrich.indexed_enrich(rows, index, zone_frame(spark), 3, dedupe_batch=True).collect()[0]["hashing_key"] is None
+
+
+def test_seen_trips_are_left_out_before_zones_are_added(spark, tmp_path):
+    """No column of a zone passes the shuffle of the join with seen keys."""
+    index = KeyIndex(spark, str(tmp_path / "keys"), buckets=2)
+    new = trip_frame(spark, ROWS)
+    first = enrich.indexed_enrich(trip_frame(spark, ROWS[:1]), index, zone_frame(spark), 0)
+    assert first.count() == 1
+    rows = enrich.indexed_enrich(new, index, zone_frame(spark), 1)
+    anti = next(part for part in rows._jdf.queryExecution().analyzed().toString().split("Join LeftAnti")[1:])
+    assert "pu_zone" not in anti.split("Join LeftSemi")[0].replace(":- ", "")
+    assert sorted(r["hashing_key"] for r in rows.collect()) == ["k2", "k5", "k5"]
